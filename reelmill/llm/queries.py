@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, near_vectors
+from . import minhash, mixing, near_vectors
 from .common import table
 from .lz_fingerprint import fingerprint_documents
 
@@ -23,9 +23,13 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_documents(table(spark, sf_dir, "documents"), words=2, percent=80)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_lz_fingerprint, op5_near_vectors, op6_mixing)}
+    return {f.__name__: f for f in (op1_lz_fingerprint, op5_near_vectors, op6_mixing, op7_minhash)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_near_vectors": near_vectors.ORACLE_SQL, "op6_mixing": mixing.ORACLE_SQL}
+    return {"op5_near_vectors": near_vectors.ORACLE_SQL, "op6_mixing": mixing.ORACLE_SQL, "op7_minhash": minhash.oracle_sql(80)}
