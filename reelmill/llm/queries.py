@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import minhash, mixing, near_vectors
+from . import minhash, mixing, near_vectors, suffix_dedup
 from .common import table
 from .lz_fingerprint import fingerprint_documents
 
@@ -27,8 +27,12 @@ def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_documents(table(spark, sf_dir, "documents"), words=2, percent=80)
 
 
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.removed_bytes(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_lz_fingerprint, op5_near_vectors, op6_mixing, op7_minhash)}
+    return {f.__name__: f for f in (op1_lz_fingerprint, op5_near_vectors, op6_mixing, op7_minhash, op10_suffix_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
