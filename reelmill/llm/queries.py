@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import minhash, mixing, near_vectors, suffix_dedup
+from . import bpe, minhash, mixing, near_vectors, suffix_dedup, token_records
 from .common import table
 from .lz_fingerprint import fingerprint_documents
 
@@ -15,6 +15,18 @@ def op1_lz_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint_documents(table(spark, sf_dir, "documents"))
 
 
+def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers as P
+
+    return bpe.digests(table(spark, sf_dir, "documents"), P.path("byte_bpe_multi_50k.tiktoken"), P.PATTERN)
+
+
+def op8_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers as P
+
+    return token_records.token_digests(table(spark, sf_dir, "documents"), P.path("byte_bpe_50k.json"), end_id=2)
+
+
 def op5_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors.near_vectors(table(spark, sf_dir, "embeddings"))
 
@@ -32,7 +44,7 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_lz_fingerprint, op5_near_vectors, op6_mixing, op7_minhash, op10_suffix_dedup)}
+    return {f.__name__: f for f in (op1_lz_fingerprint, op3_byte_bpe, op5_near_vectors, op6_mixing, op7_minhash, op8_token_records, op10_suffix_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
