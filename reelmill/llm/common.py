@@ -24,7 +24,10 @@ def session_of(df: DataFrame) -> SparkSession:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A table of the input folder; one in fewer parts than there are cores is dealt out first."""
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -80,6 +83,30 @@ def ordered_parts(df: DataFrame, key: str, n: int | None = None) -> tuple[DataFr
     return df.withColumn("_part", part(F.col(key))), bounds
 
 
+class Pieces(dict):
+    """Numbers distinct pieces of texts in order of appearance."""
+
+    def __missing__(self, piece: str) -> int:
+        n = self[piece] = len(self)
+        return n
+
+
+def split_batch(texts: Iterable[str | None]) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """The distinct runs without blanks in some texts, the run at each place, and where each text's places end."""
+    known, places, ends = Pieces(), [], [0]
+    for text in texts:
+        places.extend(map(known.__getitem__, (text or "").split()))
+        ends.append(len(places))
+    return list(known), np.array(places, dtype=np.int64), np.array(ends)
+
+
+def sums(values: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Sums of the rows between neighbouring ends."""
+    total = np.zeros((len(values) + 1, *values.shape[1:]), dtype=np.float64)
+    np.cumsum(values, axis=0, out=total[1:])
+    return total[ends[1:]] - total[ends[:-1]]
+
+
 def hash64(text: bytes) -> int:
     import xxhash
 

@@ -49,8 +49,8 @@ def water_filled(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, epochs: i
     return filled.select("source", "source_size", target.alias("target"))
 
 
-def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[int, ...] = WEIGHTS, epochs: int = MAX_EPOCHS, seed: int = SEED) -> DataFrame:
-    """One row per document: doc_id, size, source_size, target, taken and ``repeats``, how often the mix takes it.
+def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[int, ...] = WEIGHTS, epochs: int = MAX_EPOCHS, seed: int = SEED, carry: tuple[str, ...] = ()) -> DataFrame:
+    """One row per document: doc_id, size, source_size, target, taken, ``repeats`` (how often the mix takes it), and the columns to carry.
 
     A source at rate target / source_size takes each document floor(rate) times, and a seeded systematic sample of its
     documents once more: in order of size class, part and size, the document at which position * fraction + offset
@@ -63,25 +63,34 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     plus a row number within each such group.
     """
     key = F.coalesce(F.concat(F.lit("s"), F.col("source")), F.lit("n"))
-    sized = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), words_in(F.col(text_col)).alias("size"))
-    hashed = hash32(F.lit(str(seed)), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
-    digits = F.col("size").cast("string")
-    grade = F.length(digits) * 10 + F.substring(digits, 1, 1).cast("int")
-    sized = written(sized.withColumn("_key", key).withColumn("_hash", hashed).withColumn("_grade", grade).withColumn("_part", F.col("_hash") % PARTS))
-    sources = water_filled(sized.groupBy("source").agg(F.sum("size").alias("source_size")), weights, epochs)
+    hashed = hash32(F.lit(str(seed)), F.coalesce(F.col(id_col).cast("string"), F.lit("")))
+    digits = F.col("_size").cast("string")
+    rows = docs.select(*[F.col(f"`{c}`").alias(f"c_{c}") for c in carry], F.col(id_col).alias("_id"), F.col(source_col).alias("source"), words_in(F.col(text_col)).alias("_size"), hashed.alias("_hash"))
+    rows = rows.withColumn("_key", key).withColumn("_grade", F.length(digits) * 10 + F.substring(digits, 1, 1).cast("int")).withColumn("_part", F.col("_hash") % PARTS)
+    sized = written(rows.select("_id", "source", "_size", "_key", "_grade", "_part", "_hash"))
+    rows = rows if carry else sized
+    sources = water_filled(sized.groupBy("source").agg(F.sum("_size").alias("source_size")), weights, epochs)
     offset = hash32(F.lit(str(seed)), F.lit("source"), key) / F.lit(2.0**32)
     sources = sources.select(key.alias("_key"), "source_size", "target", offset.alias("_offset"))
     group = ["_key", "_grade", "_part"]
     counts = sized.groupBy(*group).agg(F.count("*").alias("_n"))
     ahead = F.sum("_n").over(W.partitionBy("_key").orderBy("_grade", "_part").rowsBetween(W.unboundedPreceding, -1))
     counts = counts.select(*group, F.coalesce(ahead, F.lit(0)).alias("_ahead"))
-    place = F.row_number().over(W.partitionBy(*group).orderBy("size", "_hash", "doc_id"))
-    placed = sized.withColumn("_place", place).join(counts, group).join(sources, "_key")
+    place = F.row_number().over(W.partitionBy(*group).orderBy("_size", "_hash", "_id"))
+    placed = rows.withColumn("_place", place).join(counts, group).join(sources, "_key")
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     k, fraction = F.col("_ahead") + F.col("_place"), rate - F.floor(rate)
     once_more = F.floor(k * fraction + F.col("_offset")) - F.floor((k - 1) * fraction + F.col("_offset"))
     repeats = (F.floor(rate) + once_more).cast("long")
-    return placed.select("doc_id", "size", "source_size", "target", (F.col("size") * repeats).alias("taken"), repeats.alias("repeats"))
+    mixed = [F.col("_id").alias("doc_id"), F.col("_size").alias("size"), "source_size", "target", (F.col("_size") * repeats).alias("taken"), repeats.alias("repeats")]
+    return placed.select(*mixed, *[F.col(f"`c_{c}`") for c in carry])
+
+
+def mixed_documents(docs: DataFrame, **how) -> DataFrame:
+    """The mix itself: each document's row as often as it is taken, with the columns of the input."""
+    out = mix(docs, carry=tuple(docs.columns), **how).where("repeats > 0")
+    out = out.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("repeats").cast("int"))))
+    return out.select(*[F.col(f"`c_{c}`").alias(c) for c in docs.columns])
 
 
 ORACLE_SQL = rf"""

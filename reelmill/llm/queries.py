@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, minhash, mixing, near_vectors, suffix_dedup, token_records
+from . import bpe, language_id, minhash, mixing, near_vectors, quality, suffix_dedup, token_records, toxicity
 from .common import table
 from .lz_fingerprint import fingerprint_documents
 
@@ -15,6 +15,21 @@ def op1_lz_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint_documents(table(spark, sf_dir, "documents"))
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return toxicity.classify(docs, toxicity.train(docs, labels, ["quality", "toxic"]))
+
+
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return language_id.identify(docs, language_id.train(docs))
+
+
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.score(docs, quality.train(docs, table(spark, sf_dir, "labels")))
+
+
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers as P
 
@@ -43,8 +58,14 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.removed_bytes(table(spark, sf_dir, "documents"))
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_lz_fingerprint, op3_byte_bpe, op5_near_vectors, op6_mixing, op7_minhash, op8_token_records, op10_suffix_dedup)}
+    return {f.__name__: f for f in (op1_lz_fingerprint, op2_toxicity, op3_byte_bpe, op4_language_id, op5_near_vectors, op6_mixing, op7_minhash, op8_token_records, op9_quality, op10_suffix_dedup, pipeline)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -218,13 +218,14 @@ def _repeats(excerpts: DataFrame, length: int) -> DataFrame:
     return map_batches(excerpts.select("v", "ekey", "excerpt", "n"), run, f"v long, ekey binary, spans {SPANS}")
 
 
-def without_repeats(docs: DataFrame, text_col: str = "text", length: int = LENGTH, gram: int = GRAM) -> DataFrame:
+def without_repeats(docs: DataFrame, text_col: str = "text", length: int = LENGTH, gram: int = GRAM, whole_characters: bool = False) -> DataFrame:
     """The documents with all their columns, and _n_bytes, _n_removed, _n_spans, _kept (the remaining bytes).
 
     Texts are UTF-8 bytes, null ones empty. Each byte covered by a string of ``length`` bytes that also starts anywhere
     else, in any document, is removed; strings are judged on the input. Texts that occur more than once go whole if
     they are that long. Shorter texts stay. An empty table gives no rows. Ids play no part, so they may be null or
-    repeat; a column of the input that is named like a result is replaced.
+    repeat; a column of the input that is named like a result is replaced. With ``whole_characters``, bytes of characters
+    that were cut stay out of _kept.
 
     1. Each text gives runs of windows with the same least gram hash; hashes that only one text has once are dropped.
     2. The excerpts that hold the remaining runs meet by hash, equal ones counted before they move and kept once.
@@ -254,7 +255,7 @@ def without_repeats(docs: DataFrame, text_col: str = "text", length: int = LENGT
     removal = found.join(whole, "tkey", "full").select(F.col("tkey").alias("_rkey"), "_spans", "_whole")
     joined = keyed.join(removal, F.col("_tkey") == F.col("_rkey"), "left")
 
-    @F.pandas_udf(f"n int, kept binary, removed long, spans long")
+    @F.pandas_udf("kept binary, removed long, spans long")
     def strip(text, spans):
         import pandas as pd
 
@@ -273,8 +274,9 @@ def without_repeats(docs: DataFrame, text_col: str = "text", length: int = LENGT
                 at = b
             kept.append(data[at:])
             kept = b"".join(kept)
-            rows.append((len(data), kept, len(data) - len(kept), len(merged)))
-        return pd.DataFrame(rows, columns=["n", "kept", "removed", "spans"])
+            removed = len(data) - len(kept)
+            rows.append((kept.decode("utf-8", "ignore").encode() if whole_characters else kept, removed, len(merged)))
+        return pd.DataFrame(rows, columns=["kept", "removed", "spans"])
 
     size = F.octet_length(text)
     stripped = F.when(F.col("_whole").isNull() & F.col("_spans").isNotNull(), strip(F.coalesce(F.col(text_col), F.lit("")), F.coalesce("_spans", F.array().cast(SPANS))))
