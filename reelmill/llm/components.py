@@ -19,8 +19,6 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 1
     pairs = edges.select(F.least(a, b).alias("lo"), F.greatest(a, b).alias("hi")).where(f"{a} is not null and {b} is not null and lo < hi")
     pairs = written(pairs.distinct())
     for _ in range(max_rounds):
-        if pairs.isEmpty():
-            break
         both = pairs.select(F.col("lo").alias("u"), F.col("hi").alias("v")).union(pairs.select(F.col("hi").alias("u"), F.col("lo").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         # large star: each larger neighbour of u hangs on the smallest of u and its neighbours
@@ -30,7 +28,9 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 1
         small = large.withColumnRenamed("hi", "u").join(parent, "u")
         small = small.select("m", F.explode(F.array("lo", "u")).alias("hi")).where("m < hi").select(F.col("m").alias("lo"), "hi").distinct()
         pairs = written(small)
-        if pairs.join(pairs.select(F.col("hi").alias("lo")).distinct(), "lo", "left_semi").isEmpty() and pairs.groupBy("hi").count().where("count > 1").isEmpty():
+        ends = pairs.select(F.col("lo").alias("n"), F.lit(1).alias("parent"), F.lit(0).alias("child")).union(pairs.select("hi", F.lit(0), F.lit(1)))
+        ends = ends.groupBy("n").agg(F.max("parent").alias("parent"), F.sum("child").alias("children"))
+        if ends.where("children > 1 or parent = 1 and children > 0").isEmpty():
             break
     else:
         raise RuntimeError("components did not settle")

@@ -7,7 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import column, hash64, map_batches, mix64, session_of, written
@@ -55,13 +55,13 @@ def shingle_set(text: str | None, words: int, known: WordHashes) -> np.ndarray:
 
 
 def signature(shingles: np.ndarray) -> np.ndarray:
-    """The least value of each coordinate's hash over the set, as (coordinate << 32 | value)."""
+    """The least value of each coordinate's hash over the set."""
     least = np.full(COORDINATES, 2**32 - 1, dtype=np.uint64)
     for i in range(0, len(shingles), 4096):
         part = shingles[i : i + 4096, None] * _SCALE
         part += _SHIFT
         least = np.minimum(least, (part >> np.uint64(32)).min(0))
-    return (np.arange(COORDINATES, dtype=np.int64) << 32) | least.astype(np.int64)
+    return least.astype(np.uint32)
 
 
 def _signed(docs: DataFrame, words: int) -> DataFrame:
@@ -75,25 +75,12 @@ def _signed(docs: DataFrame, words: int) -> DataFrame:
                 s = shingle_set(text.as_py(), words, known)
                 sizes.append(len(s))
                 keys.append(xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None)
-                tokens.append(signature(s) if len(s) else np.empty(0, dtype=np.int64))
+                tokens.append(signature(s).view(np.int32) if len(s) else np.empty(0, dtype=np.int32))
             ends = np.cumsum([0, *map(len, tokens)], dtype=np.int32)
-            values = pa.array(np.concatenate(tokens)) if tokens else pa.array([], pa.int64())
-            yield pa.RecordBatch.from_arrays([column(batch, "doc_id"), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.ListArray.from_arrays(pa.array(ends), values)], names=["doc_id", "n_shingles", "set_key", "tokens"])
+            values = pa.array(np.concatenate(tokens)) if tokens else pa.array([], pa.int32())
+            yield pa.RecordBatch.from_arrays([column(batch, "doc_id"), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.ListArray.from_arrays(pa.array(ends), values)], names=["doc_id", "n_shingles", "set_key", "signature"])
 
-    return map_batches(docs, run, "doc_id long, n_shingles long, set_key binary, tokens array<long>")
-
-
-def _with_sets(docs: DataFrame, words: int) -> DataFrame:
-    """(rep, cluster, text) -> (rep, cluster, shingles, tokens)."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = WordHashes()
-        for batch in batches:
-            sets = [shingle_set(t.as_py(), words, known) for t in column(batch, "text")]
-            cols = [column(batch, "rep"), column(batch, "cluster"), pa.array([s.tobytes() for s in sets], pa.binary()), pa.array([signature(s).astype("<u4").tobytes() for s in sets], pa.binary())]
-            yield pa.RecordBatch.from_arrays(cols, names=["rep", "cluster", "shingles", "sig"])
-
-    return map_batches(docs, run, "rep long, cluster long, shingles binary, sig binary")
+    return map_batches(docs, run, "doc_id long, n_shingles long, set_key binary, signature array<int>")
 
 
 def _similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
@@ -101,17 +88,34 @@ def _similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     return 100 * both >= percent * (len(a) + len(b) - both)
 
 
-def _links(rows: list[tuple], cross: bool, needed: int, percent: int) -> list[tuple[int, int]]:
-    """Links that join what is not yet joined. rows: (rep, component, side, shingles, sig); cross: only pairs of two sides."""
-    forest = Forest(len(rows))
-    first: dict[int, int] = {}
+def _collisions(rows: list[tuple], cross: bool, needed: int) -> Forest:
+    """A spanning forest of the pairs with enough agreeing coordinates. rows: (rep, component, side, low bytes of the signature)."""
+    forest = _joined(rows)
+    sigs = np.frombuffer(b"".join(r[3] for r in rows), dtype=np.uint8).reshape(len(rows), COORDINATES)
+    side = np.array([r[2] for r in rows])
+    for i in range(len(rows) - 1):
+        near = (sigs[i + 1 :] == sigs[i]).sum(1) >= needed
+        if cross:
+            near &= side[i + 1 :] != side[i]
+        for j in np.nonzero(near)[0].tolist():
+            forest.link(i, i + 1 + j)
+    return forest
+
+
+def _joined(rows: list[tuple]) -> Forest:
+    """Rows of one component hang together from the start."""
+    forest, first = Forest(len(rows)), {}
     for i, r in enumerate(rows):
         forest.link(first.setdefault(r[1], i), i)
     forest.links.clear()
-    sets = [np.frombuffer(r[3], dtype=np.uint64) for r in rows]
-    sizes = np.array([len(s) for s in sets])
-    sigs = np.stack([np.frombuffer(r[4], dtype="<u4") for r in rows])
-    side = np.array([r[2] for r in rows])
+    return forest
+
+
+def _links(rows: list[tuple], cross: bool, needed: int, percent: int) -> Forest:
+    """Links that join what is not yet joined. rows: (rep, component, side, shingle set); cross: only pairs of two sides."""
+    forest, sets = _joined(rows), [r[3] for r in rows]
+    sizes, side = np.array([len(s) for s in sets]), np.array([r[2] for r in rows])
+    sigs = np.stack([signature(s) for s in sets])
     pairs: list[tuple[int, int, int]] = []
     for i in range(len(rows) - 1):
         same = (sigs[i + 1 :] == sigs[i]).sum(1)
@@ -121,7 +125,7 @@ def _links(rows: list[tuple], cross: bool, needed: int, percent: int) -> list[tu
             keep &= side[i + 1 :] != side[i]
         for j in np.nonzero(keep)[0].tolist():
             if forest.root(i) != forest.root(i + 1 + j):
-                if same[j] == COORDINATES or same[j] >= needed + (COORDINATES - needed) * 3 // 4:
+                if same[j] >= needed + (COORDINATES - needed) * 3 // 4:
                     if _similar(sets[i], sets[i + 1 + j], percent):
                         forest.link(i, i + 1 + j)
                 else:
@@ -130,31 +134,83 @@ def _links(rows: list[tuple], cross: bool, needed: int, percent: int) -> list[tu
     for _, i, j in sorted(pairs, reverse=True):
         if forest.root(i) != forest.root(j) and _similar(sets[i], sets[j], percent):
             forest.link(i, j)
-    return [(rows[i][0], rows[j][0]) for i, j in forest.links]
+    return forest
 
 
-def _verified(rows: DataFrame, cross: bool, needed: int, percent: int) -> DataFrame:
-    """rows: cluster, i, j, rep, component, side, shingles, sig, dealt by (cluster, i, j) -> links (a, b)."""
+def _met(rows: DataFrame, payload: list[str], load, link, cross: bool) -> DataFrame:
+    """rows: g, i, j, rep, component, side, large and the payload; those of one (g, i, j) meet in one task, by rep.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, group = None, []
+    Returns the links (a, b), and for rows of large groups what they hang on here (g, rep, root).
+    """
+    names = ["a", "b", "g", "rep", "root"]
 
-        def done(group: list[tuple]) -> Iterator[pa.RecordBatch]:
-            found = _links(group, cross, needed, percent) if len(group) > 1 else []
-            if found:
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found, strict=True)], names=["a", "b"])
+    def done(key: tuple, group: list[tuple], large: bool) -> list[tuple]:
+        if len(group) > 1:
+            forest = link(group, cross)
+            found = [(group[x][0], group[y][0], None, None, None) for x, y in forest.links]
+            return found + [(None, None, key[0], r[0], group[forest.root(i)][0]) for i, r in enumerate(group) if large]
+        return [(None, None, key[0], r[0], r[0]) for r in group if large]
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, group, of_large, found, known = None, [], False, [], WordHashes()
+        batch_of = lambda found: pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found, strict=True)], names=names)
         for batch in batches:
-            cols = [column(batch, c).to_pylist() for c in ("cluster", "i", "j", "rep", "component", "side", "shingles", "sig")]
-            for cluster, i, j, *row in zip(*cols, strict=True):
-                if key != (cluster, i, j):
-                    yield from done(group)
-                    key, group = (cluster, i, j), []
-                group.append(tuple(row))
-        yield from done(group)
+            cols = [column(batch, c).to_pylist() for c in ("g", "i", "j", "rep", "component", "side", "large")]
+            values = zip(*(column(batch, c).to_pylist() for c in payload), strict=True)
+            for g, i, j, rep, component, side, large, value in zip(*cols, values, strict=True):
+                if key != (g, i, j):
+                    found += done(key, group, of_large)
+                    key, group, of_large = (g, i, j), [], large
+                value = load(value, known)
+                if value is not None:
+                    group.append((rep, component, side, value))
+            if found:
+                yield batch_of(found)
+                found = []
+        if found := done(key, group, of_large):
+            yield batch_of(found)
+
+    dealt = rows.repartition("g", "i", "j").sortWithinPartitions("g", "i", "j", "rep")
+    return map_batches(dealt.select("g", "i", "j", "rep", "component", "side", "large", *payload), run, ", ".join(f"{n} long" for n in names))
+
 
-    dealt = rows.repartition("cluster", "i", "j").sortWithinPartitions("cluster", "i", "j")
-    return map_batches(dealt.select("cluster", "i", "j", "rep", "component", "side", "shingles", "sig"), run, "a long, b long")
+def _linked(rows: DataFrame, payload: list[str], load, link, block: int) -> DataFrame:
+    """rows: g (a group), rep and the payload, written -> links (a, b) that join all members of a group that link() joins.
+
+    A group of over ``block`` rows is dealt into hash blocks. Blocks link inside; then representatives of what hangs
+    together meet, again in blocks; only groups still apart send all their rows to pairs of blocks, and there only
+    pairs of two components count. One that hangs together by then costs what its rows do, however large.
+    """
+    sizes = rows.groupBy("g").agg(F.count("*").alias("n")).where(f"n > {block}").select("g", F.ceil(F.col("n") / block).cast("int").alias("blocks"))
+    sizes = written(sizes)
+    dealt = rows.join(sizes, "g", "left").withColumn("large", F.col("blocks").isNotNull()).withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+    dealt = dealt.withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+    one = dealt.select("*", F.col("block").alias("i"), F.col("block").alias("j"), F.col("rep").alias("component"), F.col("block").alias("side"))
+    first = written(_met(one, payload, load, link, False))
+    links = first.where("a is not null").select("a", "b")
+    if sizes.isEmpty():
+        return links
+    large = dealt.where("large")
+    of = first.where("g is not null").select("g", "rep", "root")
+    heads = of.where("rep = root").select("g", "rep")
+    some = heads.groupBy("g").agg(F.ceil(F.count("*") / block).cast("int").alias("some"))
+    again = large.join(heads, ["g", "rep"], "left_semi").join(some, "g").withColumn("component", F.col("rep"))
+    again = again.withColumn("i", F.pmod(F.xxhash64("rep", F.lit(1)), F.col("some")).cast("int")).withColumn("j", F.col("i")).withColumn("side", F.col("i"))
+    second = written(_met(again, payload, load, link, False))
+    links = links.union(second.where("a is not null").select("a", "b"))
+    over = second.where("g is not null").select("g", F.col("rep").alias("root"), F.col("root").alias("component"))
+    state = of.join(over, ["g", "root"]).select("g", "rep", "component")
+    apart = over.groupBy("g").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("g")
+    state = large.join(apart, "g", "left_semi").join(state, ["g", "rep"])
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
+    again = state.select("*", other).where("other <> block").withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other")).withColumn("side", F.col("block"))
+    third = written(_met(again.withColumn("large", F.lit(False)), payload, load, link, True))
+    return links.union(third.select("a", "b"))
+
+
+def _low_bytes(signature: str) -> Column:
+    """A byte a coordinate: equal values have equal bytes, so no collision is missed."""
+    return F.unhex(F.array_join(F.transform(signature, lambda x: F.lpad(F.hex(F.pmod(x, F.lit(256))), 2, "0")), ""))
 
 
 def near_documents(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text", block: int = BLOCK) -> DataFrame:
@@ -166,48 +222,35 @@ def near_documents(docs: DataFrame, words: int = 5, percent: int = 80, id_col: s
 
     1. Equal sets become one representative. 2. It is posted under each coordinate and value of its signature. A pair
     with enough agreeing coordinates shares one of the rarest (coordinates - needed + 1) of either; only postings in
-    that prefix are merged, the longer lists are skipped, and only a link to a list's least document leaves it: lists
-    yield rows in proportion to their length. 3. The documents so connected are a cluster; blocks of a cluster count
-    the collisions of whole signatures, retain pairs with enough, and confirm on whole shingle sets, the likeliest
-    first, skipping what is joined already. A cluster of several blocks first links inside blocks, then between
-    representatives of what was joined, and only what is still apart goes to pairs of blocks.
+    that prefix are merged, the longer lists are skipped. The members of a list count their collisions, by a byte a
+    coordinate, and a spanning forest of the pairs with enough leaves it: never more rows than members. 3. The
+    documents so connected are a cluster, whose texts meet; pairs with enough collisions of whole signatures are
+    confirmed on whole shingle sets, the likeliest first, skipping what is joined already. ``_linked`` says how long
+    lists and large clusters are split.
     """
     session_of(docs)
     needed = matches_needed(percent)
     base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     signed = written(_signed(base, words))
-    reps = written(signed.where("doc_id is not null and set_key is not null").groupBy("set_key").agg(F.min("doc_id").alias("rep"), F.any_value("tokens").alias("tokens")))
-    postings = reps.select("rep", F.explode("tokens").alias("token"))
+    reps = written(signed.where("doc_id is not null and set_key is not null").groupBy("set_key").agg(F.min("doc_id").alias("rep"), F.any_value("signature").alias("signature")))
+    postings = reps.select("rep", F.posexplode("signature")).select("rep", (F.shiftleft(F.col("pos").cast("long"), 32) + F.col("col")).alias("token"))
     frequent = postings.groupBy("token").agg(F.count("*").alias("n")).where("n > 1")
     mine = postings.join(frequent, "token").groupBy("rep").agg(F.sort_array(F.collect_list(F.struct("n", "token"))).alias("shared"))
     # tokens that nobody shares are the rarest: they fill the prefix first
-    prefix = mine.where(F.size("shared") >= needed).select("rep", F.explode(F.slice("shared", 1, F.size("shared") - needed + 1)).alias("p"))
-    prefix = written(prefix.select("rep", F.col("p.token").alias("token")))
-    heads = prefix.groupBy("token").agg(F.min("rep").alias("head"), F.count("*").alias("n")).where("n > 1")
-    candidates = prefix.join(heads, "token").where("rep <> head").select(F.col("head").alias("a"), F.col("rep").alias("b"))
-    clusters = components(candidates).select(F.col("node").alias("rep"), F.col("component").alias("cluster"))
-    # rows that share an id would be two texts: the set decides which one is the representative's
-    texts = base.join(clusters, base["doc_id"] == clusters["rep"])
-    sets = _with_sets(texts.select("rep", "cluster", "text"), words).dropDuplicates(["rep"]) if _repeats_ids(signed) else _with_sets(texts.select("rep", "cluster", "text"), words)
-    sizes = clusters.groupBy("cluster").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
-    sets = written(sets.join(sizes, "cluster").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")))
-    one = sets.select("*", F.col("block").alias("i"), F.col("block").alias("j"), F.col("rep").alias("component"), F.col("block").alias("side"))
-    links = written(_verified(one, False, needed, percent))
-    large = sets.where("blocks > 1")
-    if not large.isEmpty():
-        for final in (False, True):
-            joined = components(links)
-            state = large.join(joined, F.col("rep") == F.col("node"), "left").drop("node").withColumn("component", F.coalesce("component", "rep"))
-            apart = state.groupBy("cluster").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("cluster")
-            state = state.join(apart, "cluster", "left_semi")
-            if final:
-                other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-                rows = state.select("*", other).where("other <> block").withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other")).withColumn("side", F.col("block"))
-            else:
-                heads = state.where("rep = component")
-                some = heads.groupBy("cluster").agg(F.ceil(F.count("*") / block).cast("int").alias("some"))
-                rows = heads.join(some, "cluster").withColumn("i", F.pmod(F.xxhash64("rep", F.lit(1)), F.col("some")).cast("int")).withColumn("j", F.col("i")).withColumn("side", F.col("i"))
-            links = written(links.union(_verified(rows, final, needed, percent)))
+    few = mine.where(F.size("shared") >= needed).join(reps.select("rep", _low_bytes("signature").alias("low")), "rep")
+    prefix = few.select("rep", "low", F.explode(F.slice("shared", 1, F.size("shared") - needed + 1)).alias("p"))
+    prefix = written(prefix.select(F.col("p.token").alias("g"), "rep", "low"))
+    candidates = _linked(prefix, ["low"], lambda v, _: v[0], lambda rows, cross: _collisions(rows, cross, needed), block)
+    clusters = components(candidates).select(F.col("node").alias("rep"), F.col("component").alias("g")).join(reps.select("rep", "set_key"), "rep")
+    texts = written(base.join(clusters, base["doc_id"] == clusters["rep"]).select("g", "rep", "set_key", "text"))
+
+    def load(value: tuple, known: WordHashes) -> np.ndarray | None:
+        import xxhash
+
+        shingles = shingle_set(value[1], words, known)
+        return shingles if xxhash.xxh3_128_digest(shingles.tobytes()) == value[0] else None  # another text with the same id
+
+    links = _linked(texts, ["set_key", "text"], load, lambda rows, cross: _links(rows, cross, needed, percent), block)
     joined = components(links)
     groups = reps.select(F.col("set_key").alias("_key"), "rep").join(joined, F.col("rep") == F.col("node"), "left").select("_key", F.coalesce("component", "rep").alias("_component"))
     out = signed.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("set_key")).alias("_set")).join(groups, F.col("_set") == F.col("_key"), "left")
@@ -215,10 +258,6 @@ def near_documents(docs: DataFrame, words: int = 5, percent: int = 80, id_col: s
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
 
 
-def _repeats_ids(signed: DataFrame) -> bool:
-    return not signed.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").isEmpty()
-
-
 def oracle_sql(percent: int = 80) -> str:
     """Brute force over two-word shingles."""
     return rf"""
