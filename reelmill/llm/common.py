@@ -47,8 +47,8 @@ def written(df: DataFrame) -> DataFrame:
 
 
 def held_out(id_col: str = "doc_id") -> Column:
-    """Rows kept from every training set: crc32 of the id as text, modulo 5, is 0 (a null id counts as empty)."""
-    return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")) % 5 == 0
+    """Rows kept from every training set: crc32 of the id as text, modulo 5, is 0 (a null id never)."""
+    return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
 def map_batches(df: DataFrame, rows: Callable[[Iterator[pa.RecordBatch]], Iterable[pa.RecordBatch]], schema: str) -> DataFrame:
