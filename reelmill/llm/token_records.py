@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -19,7 +20,10 @@ from .pretokens import pieces
 #: Fixed values of the record format: the checksum mask, the head (length, masked checksum of it) and the index entry.
 MASK, HEAD, TAIL = 0xA282EAD8, struct.Struct("<QI"), struct.Struct("<I")
 INDEX = np.dtype([("doc_id", "<i8"), ("null_id", "<u1"), ("offset", "<u8"), ("n_tokens", "<u8")])
-REMEMBERED = 300_000
+#: Fixed value: the pattern by which byte-level tokenizers of this kind cut texts.
+BYTE_LEVEL = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+#: Pieces and pre-tokens that a Python worker remembers.
+REMEMBERED = 400_000
 
 
 def masked(data: bytes) -> int:
@@ -46,27 +50,53 @@ def unframed(read, offset: int) -> bytes:
 
 
 class TextEncoder:
-    """The tokenizers library, asked once for each new piece of text between lone spaces."""
+    """The tokenizers library's model, asked once for each new pre-token; pieces between lone spaces are remembered.
+
+    What was not used while the younger half filled up is forgotten, so common pieces stay however long a task runs.
+    """
 
     def __init__(self, path: str):
+        import json
+
+        import regex
         from tokenizers import Tokenizer
 
         self.lib = Tokenizer.from_file(path)
         self.lib.encode_special_tokens = True
-        self.kind = "<u2" if self.lib.get_vocab_size() <= 1 << 16 else "<u4"
+        cut = json.loads(self.lib.to_str()).get("pre_tokenizer") or {}
+        self.plain = cut.get("type") == "ByteLevel" and cut.get("use_regex") and not cut.get("add_prefix_space") and self.lib.normalizer is None
+        self.kind, self.code = ("<u2", "H") if self.lib.get_vocab_size() <= 1 << 16 else ("<u4", "I")
+        self.cut, self.model = regex.compile(BYTE_LEVEL), self.lib.model
+        # the byte-level alphabet: printable bytes stand for themselves, the others follow from 256
+        odd = [b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or b >= 174)]
+        self.alphabet = {b: 256 + i for i, b in enumerate(odd)}
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}
+
+    def _word(self, word: str) -> bytes:
+        letters = word.encode().decode("latin-1").translate(self.alphabet)
+        ids = array(self.code, [t.id for t in self.model.tokenize(letters)]).tobytes()
+        if len(word) < 64:
+            if len(self.words) >= REMEMBERED:
+                self.words.clear()
+            self.words[word] = ids
+        return ids
+
+    def _piece(self, piece: str) -> bytes:
+        if not self.plain:
+            return np.array(self.lib.encode(piece, add_special_tokens=False).ids, dtype=self.kind).tobytes()
+        words = self.words
+        return b"".join([words.get(w) or self._word(w) for w in self.cut.findall(piece)])
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        cut = [pieces(t) for t in texts]
-        new = list({p for c in cut for p in c} - self.known.keys())
-        if len(self.known) + len(new) > REMEMBERED:
-            self.known.clear()
-            new = list({p for c in cut for p in c})
-        for i in range(0, len(new), 4096):
-            part = new[i : i + 4096]
-            for p, e in zip(part, self.lib.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                self.known[p] = np.array(e.ids, dtype=self.kind).tobytes()
-        return [b"".join(map(self.known.__getitem__, c)) for c in cut]
+        cut = [pieces(t) if self.plain else [t] for t in texts]
+        if len(self.known) > REMEMBERED:
+            self.older, self.known = self.known, {}
+        known, older = self.known, self.older
+        for p in {p for c in cut for p in c} - known.keys():
+            known[p] = older.get(p) or self._piece(p)
+        return [b"".join(map(known.__getitem__, c)) for c in cut]
 
 
 @lru_cache(2)
@@ -141,7 +171,8 @@ def read_records(manifest: DataFrame) -> DataFrame:
                         cols = [ids, pa.array(starts[i : i + 256]), pa.array([len(d) // 4 for d in data], pa.int64()), pa.array(data, pa.binary())]
                         yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "start", "n_tokens", "data"])
 
-    return map_batches(manifest.repartition(F.col("file")), run, "doc_id long, start long, n_tokens long, data binary")
+    # a task a file: the number of files is known, and few bytes name them
+    return map_batches(manifest.repartition(max(1, manifest.count()), F.col("file")), run, "doc_id long, start long, n_tokens long, data binary")
 
 
 def token_digests(docs: DataFrame, tokenizer_path: str, end_id: int = 2) -> DataFrame:
