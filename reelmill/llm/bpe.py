@@ -4,9 +4,13 @@ from __future__ import annotations
 
 import base64
 import hashlib
+from array import array
+from bisect import bisect_left
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import pairwise
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -15,34 +19,51 @@ from pyspark.sql import functions as F
 from .common import column, map_batches
 from .pretokens import pieces
 
-#: Pieces that a Python worker remembers before it starts afresh.
-REMEMBERED = 300_000
+#: Pieces, and pre-tokens, in each of the two generations that a Python worker remembers.
+REMEMBERED = 150_000
+#: Bytes of pre-tokens that share one rank queue; a longer pre-token has one to itself.
+SHARED = 1 << 17
 
 
 class RankQueue:
     """Buckets of positions by merge rank under bitmaps of three levels; the lowest set bit finds the next rank."""
 
-    __slots__ = ("buckets", "low", "middle", "top")
+    __slots__ = ("buckets", "filled", "low", "middle", "top")
 
     def __init__(self) -> None:
         self.buckets: dict[int, list[int]] = {}
+        self.filled: dict[int, np.ndarray] = {}
         self.low: dict[int, int] = {}
         self.middle: dict[int, int] = {}
         self.top = 0
 
+    def fill(self, ranks: np.ndarray, positions: np.ndarray) -> None:
+        """Puts many positions, ascending, under their ranks into an empty queue."""
+        if not len(ranks):
+            return
+        order = np.argsort(ranks, kind="stable")
+        found, starts = np.unique(ranks[order], return_index=True)
+        for rank, group in zip(found.tolist(), np.split(positions[order], starts[1:]), strict=True):
+            self._mark(rank)
+            self.buckets[rank] = []
+            self.filled[rank] = group
+
+    def _mark(self, rank: int) -> None:
+        a, b = rank >> 6, rank >> 12
+        self.low[a] = self.low.get(a, 0) | 1 << (rank & 63)
+        self.middle[b] = self.middle.get(b, 0) | 1 << (a & 63)
+        self.top |= 1 << b
+
     def push(self, rank: int, position: int) -> None:
         bucket = self.buckets.get(rank)
         if bucket is None:
             self.buckets[rank] = [position]
-            a, b = rank >> 6, rank >> 12
-            self.low[a] = self.low.get(a, 0) | 1 << (rank & 63)
-            self.middle[b] = self.middle.get(b, 0) | 1 << (a & 63)
-            self.top |= 1 << b
+            self._mark(rank)
         else:
             bucket.append(position)
 
     def pop(self) -> tuple[int, list[int]] | None:
-        """The lowest rank that holds positions, and these; the bucket is then empty."""
+        """The lowest rank that holds positions, and these in ascending order; the bucket is then empty."""
         if not self.top:
             return None
         b = (self.top & -self.top).bit_length() - 1
@@ -59,91 +80,139 @@ class RankQueue:
             else:
                 del self.middle[b]
                 self.top &= self.top - 1
-        return rank, self.buckets.pop(rank)
+        positions = self.buckets.pop(rank)
+        if (first := self.filled.pop(rank, None)) is not None:
+            positions = first.tolist() + positions
+        positions.sort()
+        return rank, positions
 
 
 class Encoder:
-    """Encodes and decodes by a table of ranks (bytes -> id, the id being the merge rank) and a pre-token pattern."""
+    """Encodes and decodes by a table of ranks (bytes -> id, the id being the merge rank) and a pre-token pattern.
+
+    Ids are kept as bytes, ``kind`` an id. What was not used while the younger generation filled up is forgotten, so
+    common pieces stay however long a task runs.
+    """
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.ranks, self.pattern = ranks, regex.compile(pattern)
         self.bytes_of = {i: b for b, i in ranks.items()}
-        self.words: dict[str, list[int]] = {}
-        self.parts: dict[str, list[int]] = {}
-
-    def merge(self, token: bytes) -> list[int]:
-        """The ids of one pre-token: always the lowest rank first, the leftmost position of that rank first."""
-        ranks = self.ranks
-        whole = ranks.get(token)
-        if whole is not None:
-            return [whole]
-        n = len(token)
-        # a linked list of parts: a part is named by its first byte; end[i] is where it ends, 0 once it is merged away
-        end = list(range(1, n + 1))
-        before = list(range(-1, n))
-        queue, get = RankQueue(), ranks.get
-        for i in range(n - 1):
-            rank = get(token[i : i + 2])
-            if rank is not None:
-                queue.push(rank, i)
+        # one more than any id stands for "no part here"; a pair's key is left * base + right
+        self.nothing = max(ranks.values()) + 1
+        self.base = self.nothing + 1
+        self.kind = np.dtype("<u2" if self.base <= 1 << 16 else "<u4")
+        self.pairs: dict[int, int] = {}
+        get = ranks.get
+        for token, rank in ranks.items():
+            for cut in range(1, len(token)):
+                left, right = get(token[:cut]), get(token[cut:])
+                if left is not None and right is not None:
+                    self.pairs[left * self.base + right] = rank
+        self.byte_ids = np.array([ranks[bytes([b])] for b in range(256)], dtype=np.int32)
+        self.byte_pairs = np.array([[get(bytes([a, b]), -1) for b in range(256)] for a in range(256)], dtype=np.int32)
+        self.words: dict[str, bytes] = {}
+        self.older_words: dict[str, bytes] = {}
+        self.parts: dict[str, bytes] = {}
+        self.older_parts: dict[str, bytes] = {}
+
+    def merge(self, tokens: list[bytes]) -> list[bytes]:
+        """The ids of each pre-token: always the lowest rank first, the leftmost position of that rank first.
+
+        The pre-tokens lie behind each other, with a gap after each, under one queue: a bucket holds positions of all.
+        """
+        nothing, base, get = self.nothing, self.base, self.pairs.get
+        ends = np.cumsum([len(t) + 1 for t in tokens]) - 1  # the gaps
+        laid = np.frombuffer(b"\0".join(tokens) + b"\0", dtype=np.uint8)
+        ids, first = self.byte_ids[laid], self.byte_pairs[laid[:-1], laid[1:]]
+        ids[ends] = nothing
+        first[ends[:-1]] = first[ends - 1] = -1
+        queue, at = RankQueue(), np.nonzero(first >= 0)[0]
+        queue.fill(first[at], at)
+        # a linked list of parts: a part is named by its first byte; what is merged away becomes nothing
+        n = len(laid)
+        part, after, before = array("i", ids.tobytes()), array("i", range(1, n + 1)), array("i", range(-1, n))
+        gaps = ends.tolist()
         while (found := queue.pop()) is not None:
             rank, positions = found
-            positions.sort()
-            for at, i in enumerate(positions):
-                middle = end[i]
-                if not middle or middle >= n:
+            wait = -1
+            for i in positions:
+                if i < wait:
+                    queue.push(rank, i)
                     continue
-                last = end[middle]
-                if get(token[i:last]) != rank:
+                middle = after[i]
+                if get(part[i] * base + part[middle]) != rank:
                     continue  # stale: a part of this pair was merged meanwhile
-                end[i], end[middle] = last, 0
-                sooner = False
-                if last < n:
-                    before[last] = i
-                    after = get(token[i : end[last]])
-                    if after is not None:
-                        queue.push(after, i)
-                        sooner = after < rank
+                last = after[middle]
+                part[i], part[middle] = rank, nothing
+                after[i], before[last] = last, i
+                right = get(rank * base + part[last], -1)
+                if right >= 0:
+                    queue.push(right, i)
+                    if right < rank:
+                        wait = gaps[bisect_left(gaps, i)]
                 if i:
-                    left = before[i]
-                    prior = get(token[left:last])
-                    if prior is not None:
-                        queue.push(prior, left)
-                        sooner |= prior < rank
-                if sooner:  # a lower rank came up: the rest of the bucket waits
-                    for rest in positions[at + 1 :]:
-                        queue.push(rank, rest)
-                    break
-        out, i = [], 0
-        while i < n:
-            out.append(ranks[token[i : end[i]]])
-            i = end[i]
-        return out
+                    prior = before[i]
+                    left = get(part[prior] * base + rank, -1)
+                    if left >= 0:
+                        queue.push(left, prior)
+                        if left < rank:  # a lower rank came up: the rest of this pre-token's positions waits
+                            wait = gaps[bisect_left(gaps, i)]
+        out = np.frombuffer(part, dtype=np.int32)
+        there = out != nothing
+        cuts = [0, *(np.cumsum(there)[ends] * self.kind.itemsize).tolist()]
+        data = out[there].astype(self.kind).tobytes()
+        return [data[a:b] for a, b in pairwise(cuts)]
+
+    def _learn_words(self, new: set[str]) -> None:
+        """Adds the ids of pre-tokens, merged in groups of bounded size."""
+        known, older, group, size = self.words, self.older_words, [], 0
+        for word in new:
+            ids = older.get(word)
+            if ids is None:
+                token = word.encode()
+                if (whole := self.ranks.get(token)) is None:
+                    group.append((word, token))
+                    size += len(token)
+                    if size >= SHARED:
+                        known.update(zip((w for w, _ in group), self.merge([t for _, t in group]), strict=True))
+                        group, size = [], 0
+                    continue
+                ids = whole.to_bytes(self.kind.itemsize, "little")
+            known[word] = ids
+        if group:
+            known.update(zip((w for w, _ in group), self.merge([t for _, t in group]), strict=True))
 
-    def _piece(self, piece: str) -> list[int]:
-        ids: list[int] = []
-        for word in self.pattern.findall(piece):
-            known = self.words.get(word)
-            if known is None:
-                known = self.merge(word.encode())
-                if len(word) < 64:
-                    if len(self.words) >= REMEMBERED:
-                        self.words.clear()
-                    self.words[word] = known
-            ids += known
-        if len(piece) < 64:
-            if len(self.parts) >= REMEMBERED:
-                self.parts.clear()
-            self.parts[piece] = ids
-        return ids
-
-    def encode(self, text: str) -> list[int]:
-        ids: list[int] = []
-        known = self.parts
-        for piece in pieces(text):
-            got = known.get(piece)
-            ids += self._piece(piece) if got is None else got
-        return ids
+    def _learn(self, new: set[str]) -> None:
+        """Adds the ids of pieces."""
+        known, older, cut = self.parts, self.older_parts, {}
+        for p in new:
+            if (ids := older.get(p)) is None:
+                cut[p] = self.pattern.findall(p)
+            else:
+                known[p] = ids
+        words = {w for c in cut.values() for w in c}
+        self._learn_words(words.difference(self.words))
+        get = self.words.__getitem__
+        for p, c in cut.items():
+            known[p] = get(c[0]) if len(c) == 1 else b"".join(map(get, c))
+        for w in words:
+            if len(w) >= 64:
+                del self.words[w]
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        """The ids of each text. Pieces of at least 64 characters are forgotten afterwards."""
+        if len(self.parts) > REMEMBERED:
+            self.older_parts, self.parts = self.parts, {}
+        if len(self.words) > REMEMBERED:
+            self.older_words, self.words = self.words, {}
+        cut, known = [pieces(t) for t in texts], self.parts
+        new = set().union(*cut).difference(known)
+        self._learn(new)
+        out = [np.frombuffer(b"".join(map(known.__getitem__, c)), dtype=self.kind) for c in cut]
+        for p in new:
+            if len(p) >= 64:
+                del known[p]
+        return out
 
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, ids))
@@ -169,8 +238,11 @@ def encoded(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", te
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         e = encoder(path, pattern)
         for batch in batches:
-            ids = [e.encode(t.as_py()) for t in column(batch, "text")]
-            cols = [column(batch, "doc_id"), pa.array(ids, pa.list_(pa.int32())), pa.array([e.decode(i) for i in ids], pa.binary())]
+            ids = e.encode(column(batch, "text").to_pylist())
+            ends = np.cumsum([0, *map(len, ids)], dtype=np.int32)
+            values = pa.array(np.concatenate(ids).astype(np.int32) if ids else [], pa.int32())
+            lists = pa.ListArray.from_arrays(pa.array(ends), values)
+            cols = [column(batch, "doc_id"), lists, pa.array([e.decode(i.tolist()) for i in ids], pa.binary())]
             yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "ids", "decoded"])
 
     return map_batches(rows, run, f"doc_id {kind}, ids array<int>, decoded binary")
@@ -185,8 +257,8 @@ def digests(docs: DataFrame, path: str, pattern: str) -> DataFrame:
         decimal = {i: str(i) for i in e.bytes_of}.__getitem__
         for batch in batches:
             out: list[list] = [[], [], []]
-            for t in column(batch, "text"):
-                ids = e.encode(t.as_py())
+            for found in e.encode(column(batch, "text").to_pylist()):
+                ids = found.tolist()
                 out[0].append(len(ids))
                 out[1].append(hashlib.sha256(",".join(map(decimal, ids)).encode()).hexdigest())
                 out[2].append(hashlib.sha256(e.decode(ids)).hexdigest())

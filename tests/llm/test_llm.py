@@ -122,7 +122,10 @@ def test_bpe(docs, none):
     rng, e = random.Random(2), bpe.encoder(path, P.PATTERN)
     for _ in range(500):
         t = "".join(rng.choice("ab  \n\t'sré漢ß\x1c\x85.!²12　<|endoftext|>") for _ in range(40))
-        assert e.encode(t) == lib.encode_ordinary(t) and "".join(pretokens.pieces(t)) == t
+        assert e.encode([t])[0].tolist() == lib.encode_ordinary(t) and "".join(pretokens.pieces(t)) == t
+    hard = ["", "a" * 50_000, "\0\0\0", "".join(rng.choice("ab") for _ in range(20_000)), "".join(rng.choice("aeéß漢\0 \n") for _ in range(20_000))]
+    hard += ["".join(rng.choice("abcdeést ") for _ in range(rng.randrange(40))) for _ in range(2_000)]
+    assert [i.tolist() for i in e.encode(hard)] == [lib.encode_ordinary(t) for t in hard]
     assert bpe.digests(none, path, P.PATTERN).count() == 0
 
 
