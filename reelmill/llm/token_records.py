@@ -75,7 +75,12 @@ class TextEncoder:
         self.words: dict[str, bytes] = {}
 
     def _word(self, word: str) -> bytes:
-        letters = word.encode().decode("latin-1").translate(self.alphabet)
+        if word.isascii() and word.isalnum():
+            letters = word
+        elif word.isascii() and word[1:].isalnum():
+            letters = chr(self.alphabet.get(ord(word[0]), ord(word[0]))) + word[1:]
+        else:
+            letters = word.encode().decode("latin-1").translate(self.alphabet)
         ids = array(self.code, [t.id for t in self.model.tokenize(letters)]).tobytes()
         if len(word) < 64:
             if len(self.words) >= REMEMBERED:
@@ -87,6 +92,8 @@ class TextEncoder:
         if not self.plain:
             return np.array(self.lib.encode(piece, add_special_tokens=False).ids, dtype=self.kind).tobytes()
         words = self.words
+        if piece.isascii() and (piece.isalpha() or piece[0] == " " and piece[1:].isalpha()):  # one pre-token
+            return words.get(piece) or self._word(piece)
         return b"".join([words.get(w) or self._word(w) for w in self.cut.findall(piece)])
 
     def encode(self, texts: list[str]) -> list[bytes]:
@@ -94,7 +101,7 @@ class TextEncoder:
         if len(self.known) > REMEMBERED:
             self.older, self.known = self.known, {}
         known, older = self.known, self.older
-        for p in {p for c in cut for p in c} - known.keys():
+        for p in set().union(*cut).difference(known):
             known[p] = older.get(p) or self._piece(p)
         return [b"".join(map(known.__getitem__, c)) for c in cut]
 
