@@ -3,7 +3,13 @@
 from __future__ import annotations
 
 import re
+import string
+from collections.abc import Callable, Sequence
 
+import regex
+
+#: Fixed value: the pattern by which byte-level tokenizers of this kind cut texts.
+BYTE_LEVEL = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 _TWO_BLANKS = re.compile(r"\s\s")
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 
@@ -18,7 +24,24 @@ def pieces(text: str) -> list[str]:
     if not text:
         return []
     if _TWO_BLANKS.search(text) is None and text[0] != " ":
+        if "\0" not in text:
+            return text.replace(" ", "\0 ").split("\0")
         first, *rest = text.split(" ")
-        return [first, *[" " + p for p in rest]]
-    first, *rest = _CUT.split(text)
+    else:
+        first, *rest = _CUT.split(text)
     return [first, *[" " + p for p in rest]]
+
+
+def cutter(pattern: str) -> Callable[[str], Sequence[str]]:
+    """The pre-tokens of a piece, not empty. For the byte-level pattern, letters with punctuation behind need no matching."""
+    find, marks = regex.compile(pattern).findall, string.punctuation
+    if pattern != BYTE_LEVEL:
+        return find
+
+    def cut(piece: str) -> Sequence[str]:
+        word = piece.rstrip(marks)
+        if (word[1:] if word[:1] == " " else word).isalpha():
+            return (word,) if len(word) == len(piece) else (word, piece[len(word) :])
+        return find(piece)
+
+    return cut
