@@ -15,13 +15,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import column, map_batches, ordered_parts, shared_dir, written
-from .pretokens import pieces
+from .pretokens import BYTE_LEVEL, cutter, pieces
 
 #: Fixed values of the record format: the checksum mask, the head (length, masked checksum of it) and the index entry.
 MASK, HEAD, TAIL = 0xA282EAD8, struct.Struct("<QI"), struct.Struct("<I")
 INDEX = np.dtype([("doc_id", "<i8"), ("null_id", "<u1"), ("offset", "<u8"), ("n_tokens", "<u8")])
-#: Fixed value: the pattern by which byte-level tokenizers of this kind cut texts.
-BYTE_LEVEL = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Pieces and pre-tokens that a Python worker remembers.
 REMEMBERED = 400_000
 
@@ -58,7 +56,6 @@ class TextEncoder:
     def __init__(self, path: str):
         import json
 
-        import regex
         from tokenizers import Tokenizer
 
         self.lib = Tokenizer.from_file(path)
@@ -66,7 +63,7 @@ class TextEncoder:
         cut = json.loads(self.lib.to_str()).get("pre_tokenizer") or {}
         self.plain = cut.get("type") == "ByteLevel" and cut.get("use_regex") and not cut.get("add_prefix_space") and self.lib.normalizer is None
         self.kind, self.code = ("<u2", "H") if self.lib.get_vocab_size() <= 1 << 16 else ("<u4", "I")
-        self.cut, self.model = regex.compile(BYTE_LEVEL), self.lib.model
+        self.cut, self.model = cutter(BYTE_LEVEL), self.lib.model
         # the byte-level alphabet: printable bytes stand for themselves, the others follow from 256
         odd = [b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or b >= 174)]
         self.alphabet = {b: 256 + i for i, b in enumerate(odd)}
@@ -92,18 +89,23 @@ class TextEncoder:
         if not self.plain:
             return np.array(self.lib.encode(piece, add_special_tokens=False).ids, dtype=self.kind).tobytes()
         words = self.words
-        if piece.isascii() and (piece.isalpha() or piece[0] == " " and piece[1:].isalpha()):  # one pre-token
-            return words.get(piece) or self._word(piece)
-        return b"".join([words.get(w) or self._word(w) for w in self.cut.findall(piece)])
+        return b"".join([words.get(w) or self._word(w) for w in self.cut(piece)])
 
     def encode(self, texts: list[str]) -> list[bytes]:
         cut = [pieces(t) if self.plain else [t] for t in texts]
         if len(self.known) > REMEMBERED:
             self.older, self.known = self.known, {}
         known, older = self.known, self.older
-        for p in set().union(*cut).difference(known):
-            known[p] = older.get(p) or self._piece(p)
-        return [b"".join(map(known.__getitem__, c)) for c in cut]
+        out = []
+        for c in cut:
+            found = list(map(known.get, c))
+            for i in [i for i, ids in enumerate(found) if ids is None]:
+                p = c[i]
+                if (ids := known.get(p)) is None:
+                    ids = known[p] = older.get(p) or self._piece(p)
+                found[i] = ids
+            out.append(b"".join(found))
+        return out
 
 
 @lru_cache(2)

@@ -129,6 +129,17 @@ def test_bpe(docs, none):
     assert bpe.digests(none, path, P.PATTERN).count() == 0
 
 
+def test_cutter():
+    import regex
+
+    find, cut = regex.compile(pretokens.BYTE_LEVEL).findall, pretokens.cutter(pretokens.BYTE_LEVEL)
+    assert all(regex.match(r"\p{L}", chr(c)) for c in range(0x110000) if chr(c).isalpha())
+    rng = random.Random(4)
+    for _ in range(20_000):
+        piece = "".join(rng.choice(" ab'sé漢²1.,!?\n") for _ in range(rng.randint(1, 6)))
+        assert list(cut(piece)) == find(piece), piece
+
+
 def test_records(docs, none, spark, tmp_path):
     from tokenizers import Tokenizer
 
