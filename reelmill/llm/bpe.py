@@ -19,7 +19,7 @@ from .common import column, map_batches
 from .pretokens import cutter, pieces
 
 #: Pieces, and pre-tokens, in each of the two generations that a Python worker remembers.
-REMEMBERED = 200_000
+REMEMBERED = 400_000
 #: Bytes of pre-tokens that share one rank queue; a longer pre-token has one to itself.
 SHARED = 1 << 17
 
@@ -127,11 +127,12 @@ class Encoder:
         first[ends[:-1]] = first[ends - 1] = -1
         queue, at = RankQueue(), np.nonzero(first >= 0)[0]
         queue.fill(first[at], at)
-        # a linked list of parts: a part is named by its first byte; what is merged away becomes nothing
+        # a linked list of parts: a part is named by its first byte; what is merged away becomes nothing. pair has the
+        # rank of each part with the one after it
         n = len(laid)
-        part, after, before = ids.tolist(), list(range(1, n + 1)), list(range(-1, n))
+        part, pair, after, before = ids.tolist(), first.tolist(), list(range(1, n + 1)), list(range(-1, n))
         if n > 2 * SHARED:  # a long pre-token: slower, but in a sixth of the memory
-            part, after, before = array("i", part), array("i", after), array("i", before)
+            part, pair, after, before = array("i", part), array("i", pair), array("i", after), array("i", before)
         gaps = ends.tolist()
         while (found := queue.pop()) is not None:
             rank, positions = found
@@ -140,13 +141,13 @@ class Encoder:
                 if i < wait:
                     queue.push(rank, i)
                     continue
-                middle = after[i]
-                if get(part[i] * base + part[middle]) != rank:
+                if pair[i] != rank:
                     continue  # stale: a part of this pair was merged meanwhile
+                middle = after[i]
                 last = after[middle]
-                part[i], part[middle] = rank, nothing
+                part[i], part[middle], pair[middle] = rank, nothing, -1
                 after[i], before[last] = last, i
-                right = get(rank * base + part[last], -1)
+                pair[i] = right = get(rank * base + part[last], -1)
                 if right >= 0:
                     queue.push(right, i)
                     if right < rank:
@@ -154,6 +155,7 @@ class Encoder:
                 if i:
                     prior = before[i]
                     left = get(part[prior] * base + rank, -1)
+                    pair[prior] = left
                     if left >= 0:
                         queue.push(left, prior)
                         if left < rank:  # a lower rank came up: the rest of this pre-token's positions waits
