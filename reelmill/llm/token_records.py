@@ -21,7 +21,7 @@ from .pretokens import BYTE_LEVEL, cutter, pieces
 MASK, HEAD, TAIL = 0xA282EAD8, struct.Struct("<QI"), struct.Struct("<I")
 INDEX = np.dtype([("doc_id", "<i8"), ("null_id", "<u1"), ("offset", "<u8"), ("n_tokens", "<u8")])
 #: Pieces and pre-tokens that a Python worker remembers.
-REMEMBERED = 400_000
+REMEMBERED = 500_000
 
 
 def masked(data: bytes) -> int:
@@ -47,6 +47,16 @@ def unframed(read, offset: int) -> bytes:
     return data
 
 
+class Letters(dict):
+    """A character as letters of the byte-level alphabet: printable bytes stand for themselves, the others follow from 256."""
+
+    ODD = {b: 256 + i for i, b in enumerate(b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or b >= 174))}
+
+    def __missing__(self, char: str) -> str:
+        letters = self[char] = char.encode().decode("latin-1").translate(self.ODD)
+        return letters
+
+
 class TextEncoder:
     """The tokenizers library's model, asked once for each new pre-token; pieces between lone spaces are remembered.
 
@@ -64,20 +74,13 @@ class TextEncoder:
         self.plain = cut.get("type") == "ByteLevel" and cut.get("use_regex") and not cut.get("add_prefix_space") and self.lib.normalizer is None
         self.kind, self.code = ("<u2", "H") if self.lib.get_vocab_size() <= 1 << 16 else ("<u4", "I")
         self.cut, self.model = cutter(BYTE_LEVEL), self.lib.model
-        # the byte-level alphabet: printable bytes stand for themselves, the others follow from 256
-        odd = [b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or b >= 174)]
-        self.alphabet = {b: 256 + i for i, b in enumerate(odd)}
+        self.alphabet = Letters()
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
         self.words: dict[str, bytes] = {}
 
     def _word(self, word: str) -> bytes:
-        if word.isascii() and word.isalnum():
-            letters = word
-        elif word.isascii() and word[1:].isalnum():
-            letters = chr(self.alphabet.get(ord(word[0]), ord(word[0]))) + word[1:]
-        else:
-            letters = word.encode().decode("latin-1").translate(self.alphabet)
+        letters = word if word.isascii() and word.isalnum() else "".join(map(self.alphabet.__getitem__, word))
         ids = array(self.code, [t.id for t in self.model.tokenize(letters)]).tobytes()
         if len(word) < 64:
             if len(self.words) >= REMEMBERED:
