@@ -10,7 +10,7 @@ import regex
 
 #: Fixed value: the pattern by which byte-level tokenizers of this kind cut texts.
 BYTE_LEVEL = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-_TWO_BLANKS = re.compile(r"\s\s")
+_BLANKS = [chr(c) for c in range(0x3001) if chr(c).isspace() and c != 32]
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 
 
@@ -23,7 +23,8 @@ def pieces(text: str) -> list[str]:
     """
     if not text:
         return []
-    if _TWO_BLANKS.search(text) is None and text[0] != " ":
+    crowded = "  " in text or any(b in text and (b + " " in text or " " + b in text) for b in _BLANKS)
+    if not crowded and text[0] != " ":
         if "\0" not in text:
             return text.replace(" ", "\0 ").split("\0")
         first, *rest = text.split(" ")

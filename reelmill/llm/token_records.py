@@ -80,7 +80,10 @@ class TextEncoder:
         self.words: dict[str, bytes] = {}
 
     def _word(self, word: str) -> bytes:
-        letters = word if word.isascii() and word.isalnum() else "".join(map(self.alphabet.__getitem__, word))
+        if word.isascii() and word[1:].isalnum():
+            letters = self.alphabet[word[0]] + word[1:]
+        else:
+            letters = "".join(map(self.alphabet.__getitem__, word))
         ids = array(self.code, [t.id for t in self.model.tokenize(letters)]).tobytes()
         if len(word) < 64:
             if len(self.words) >= REMEMBERED:
