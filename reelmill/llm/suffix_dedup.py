@@ -140,17 +140,17 @@ def covered(starts: list[int], length: int) -> list[tuple[int, int]]:
     return out
 
 
-def _runs(texts: DataFrame, length: int, gram: int) -> DataFrame:
+def _runs(texts: DataFrame, length: int, gram: int, piece: int) -> DataFrame:
     """(tkey, text) -> a row for each run: tkey, v, s0, s1, again."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        powers = _Powers(PIECE + length)
+        powers = _Powers(piece + length)
         for batch in batches:
             parts: list[list] = [[], [], [], [], []]
             for row, (tkey, text) in enumerate(zip(column(batch, "tkey").to_pylist(), column(batch, "text"), strict=True)):
                 data = np.frombuffer(text.as_buffer() or b"", dtype=np.uint8)
-                for at in range(0, len(data) - length + 1, PIECE):
-                    v, first, last, again = runs_of(data[at : at + PIECE + length - 1], length, gram, powers)
+                for at in range(0, len(data) - length + 1, piece):
+                    v, first, last, again = runs_of(data[at : at + piece + length - 1], length, gram, powers)
                     for p, x in zip(parts, (np.full(len(v), row), v.view(np.int64), first + at, last + at, again), strict=True):
                         p.append(x)
             if parts[0]:
@@ -218,7 +218,7 @@ def _repeats(excerpts: DataFrame, length: int) -> DataFrame:
     return map_batches(excerpts.select("v", "ekey", "excerpt", "n"), run, f"v long, ekey binary, spans {SPANS}")
 
 
-def without_repeats(docs: DataFrame, text_col: str = "text", length: int = LENGTH, gram: int = GRAM, whole_characters: bool = False) -> DataFrame:
+def without_repeats(docs: DataFrame, text_col: str = "text", length: int = LENGTH, gram: int = GRAM, whole_characters: bool = False, piece: int = PIECE) -> DataFrame:
     """The documents with all their columns, and _n_bytes, _n_removed, _n_spans, _kept (the remaining bytes).
 
     Texts are UTF-8 bytes, null ones empty. Each byte covered by a string of ``length`` bytes that also starts anywhere
@@ -227,7 +227,8 @@ def without_repeats(docs: DataFrame, text_col: str = "text", length: int = LENGT
     repeat; a column of the input that is named like a result is replaced. With ``whole_characters``, bytes of characters
     that were cut stay out of _kept.
 
-    1. Each text gives runs of windows with the same least gram hash; hashes that only one text has once are dropped.
+    1. Each text gives runs of windows with the same least gram hash; hashes that only one text has once are dropped
+    (a text is worked on in pieces of ``piece`` window starts; a hash in two pieces of it counts as there twice).
     2. The excerpts that hold the remaining runs meet by hash, equal ones counted before they move and kept once.
     3. Each hash's distinct excerpts get a suffix array by two-stage sorting; neighbours that share ``length`` bytes
     are repeated. 4. The spans go back by the text's key. Nothing of the corpus reaches the driver.
@@ -238,9 +239,12 @@ def without_repeats(docs: DataFrame, text_col: str = "text", length: int = LENGT
     long_texts = keyed.where(F.octet_length(text) >= length)
     texts = long_texts.select(F.col("_tkey").alias("tkey"), text.alias("text"), F.xxhash64(*[c for c in docs.columns if c != text_col]).alias("row") if len(docs.columns) > 1 else F.lit(0).cast("long").alias("row"))
     copies = written(texts.groupBy("tkey").agg(F.count("*").alias("n"), F.min("row").alias("row")))
-    runs = written(_runs(texts.select("tkey", "text"), length, gram))
-    # equal texts have equal runs: a hash counts as shared if two different texts have it
-    shared = runs.groupBy("v").agg(F.min("tkey").alias("lo"), F.max("tkey").alias("hi"), F.max("again").alias("again")).where("again or lo < hi").select("v")
+    runs = written(_runs(texts.select("tkey", "text"), length, gram, piece))
+    # equal texts have equal runs: a hash counts as shared if two different texts have it, or two pieces of one text
+    # (again knows its own piece only)
+    at = F.expr(f"s0 div {piece}")
+    shared = runs.groupBy("v").agg(F.min("tkey").alias("lo"), F.max("tkey").alias("hi"), F.max("again").alias("again"), F.min(at).alias("first"), F.max(at).alias("last"))
+    shared = shared.where("again or lo < hi or first < last").select("v")
     hits = runs.join(shared, "v").groupBy("tkey").agg(F.collect_set(F.struct("v", "s0", "s1")).alias("runs"))
     # of copies one is enough: their number is known
     one = hits.join(copies.select("tkey", "row"), "tkey")
@@ -290,7 +294,7 @@ def without_repeats(docs: DataFrame, text_col: str = "text", length: int = LENGT
     )
 
 
-def removed_bytes(docs: DataFrame, length: int = LENGTH) -> DataFrame:
+def removed_bytes(docs: DataFrame, length: int = LENGTH, piece: int = PIECE) -> DataFrame:
     """One row per document: doc_id, n_bytes, n_removed, n_spans and the sha256 of what stays."""
-    out = without_repeats(docs.select("doc_id", "text"), length=length)
+    out = without_repeats(docs.select("doc_id", "text"), length=length, piece=piece)
     return out.select("doc_id", F.col("_n_bytes").alias("n_bytes"), F.col("_n_removed").alias("n_removed"), F.col("_n_spans").alias("n_spans"), F.sha2("_kept", 256).alias("kept_sha256"))

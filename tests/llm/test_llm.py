@@ -102,6 +102,17 @@ def test_suffix_dedup(docs, none):
     assert set(docs.columns) <= set(suffix_dedup.without_repeats(docs).columns)
 
 
+@pytest.mark.parametrize(("piece", "filler"), [(700, 3_000), (suffix_dedup.PIECE, suffix_dedup.PIECE + 400_000)])
+def test_suffix_dedup_across_pieces(spark, piece, filler):
+    rng = random.Random(6)
+    noise = lambda n: "".join(rng.choices("abcdefghijklmnop ", k=n))
+    passage, start, between = noise(600), noise(100), noise(filler)
+    # one text alone has the passage, in two of its pieces; another has none that repeats
+    rows = [(1, start + passage + between + passage + "."), (2, noise(3_000))]
+    got = {r["doc_id"]: tuple(r)[1:4] for r in suffix_dedup.removed_bytes(spark.createDataFrame(rows, "doc_id long, text string"), piece=piece).collect()}
+    assert got == {1: (len(rows[0][1]), 1_200, 2), 2: (3_000, 0, 0)}
+
+
 def test_two_stage():
     rng = random.Random(1)
     for _ in range(50):
