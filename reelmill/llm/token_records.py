@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import struct
 import zlib
 from array import array
@@ -60,6 +61,7 @@ class Letters(dict):
 class TextEncoder:
     """The tokenizers library's model, asked once for each new pre-token; pieces between lone spaces are remembered.
 
+    Added tokens of the file that stand in a text have their own ids, as in the library's encode(): the text is split there.
     What was not used while the younger half filled up is forgotten, so common pieces stay however long a task runs.
     """
 
@@ -69,12 +71,17 @@ class TextEncoder:
         from tokenizers import Tokenizer
 
         self.lib = Tokenizer.from_file(path)
-        self.lib.encode_special_tokens = True
-        cut = json.loads(self.lib.to_str()).get("pre_tokenizer") or {}
+        spec = json.loads(self.lib.to_str())
+        cut, added = spec.get("pre_tokenizer") or {}, [t for t in spec.get("added_tokens") or [] if t["content"]]
         self.plain = cut.get("type") == "ByteLevel" and cut.get("use_regex") and not cut.get("add_prefix_space") and self.lib.normalizer is None
+        # the library matches tokens in two rounds, and some take blanks with them or want word borders: those files go by its encode()
+        self.plain = self.plain and len({t["normalized"] for t in added}) < 2 and not any(t[k] for t in added for k in ("single_word", "lstrip", "rstrip"))
         self.kind, self.code = ("<u2", "H") if self.lib.get_vocab_size() <= 1 << 16 else ("<u4", "I")
         self.cut, self.model = cutter(BYTE_LEVEL), self.lib.model
         self.alphabet = Letters()
+        self.added = {t["content"]: np.array([t["id"]], dtype=self.kind).tobytes() for t in added}
+        # leftmost, then longest; the group keeps the tokens at odd places
+        self.split = re.compile(f"({'|'.join(map(re.escape, sorted(self.added, key=len, reverse=True)))})").split
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
         self.words: dict[str, bytes] = {}
@@ -94,11 +101,20 @@ class TextEncoder:
     def _piece(self, piece: str) -> bytes:
         if not self.plain:
             return np.array(self.lib.encode(piece, add_special_tokens=False).ids, dtype=self.kind).tobytes()
+        if piece in self.added:  # no other piece has one in it
+            return self.added[piece]
         words = self.words
         return b"".join([words.get(w) or self._word(w) for w in self.cut(piece)])
 
+    def _cut(self, text: str) -> list[str]:
+        if not self.plain:
+            return [text]
+        if not any(a in text for a in self.added):
+            return pieces(text)
+        return [p for i, part in enumerate(self.split(text)) for p in ([part] if i % 2 else pieces(part))]
+
     def encode(self, texts: list[str]) -> list[bytes]:
-        cut = [pieces(t) if self.plain else [t] for t in texts]
+        cut = [self._cut(t) for t in texts]
         if len(self.known) > REMEMBERED:
             self.older, self.known = self.known, {}
         known, older = self.known, self.older

@@ -173,6 +173,37 @@ def test_records(docs, none, spark, tmp_path):
         token_records.unframed(io.BytesIO(record), 0)
 
 
+def test_records_added_tokens(spark):
+    from tokenizers import Tokenizer
+
+    path, rng = P.path("byte_bpe_50k.json"), random.Random(5)
+    lib, e = Tokenizer.from_file(path), token_records.TextEncoder(path)
+    texts = ["end<|endoftext|>start", "<|endoftext|>", "<|endoftext|><|endoftext|> a", " a  <|endoftext|>  b ", "<|endoftext", "one"]
+    texts += ["".join(rng.choices(["a", "b ", " ", "  ", "\n", "'s", "é漢", "<|", "|>", "endoftext", "<|endoftext|>"], k=12)) for _ in range(2_000)]
+    want = [lib.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [np.frombuffer(i, dtype=e.kind).tolist() for i in e.encode(texts)] == want and want[0] == [437, 50256, 9688]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got, at = {r["doc_id"]: r for r in token_records.token_digests(docs, path).collect()}, 0
+    for i, ids in enumerate(x + [2] for x in want):
+        assert (got[i]["start"], got[i]["n_tokens"], got[i]["ids_crc32"]) == (at, len(ids), zlib.crc32(np.array(ids, dtype="<u4").tobytes()))
+        at += len(ids)
+
+
+@pytest.mark.parametrize("token", [{"lstrip": True}, {"single_word": True}, {"content": "<|end"}])
+def test_added_tokens_of_other_files(tmp_path, token):
+    import json
+
+    from tokenizers import Tokenizer
+
+    spec = json.load(open(P.path("byte_bpe_50k.json")))
+    spec["added_tokens"].append(spec["added_tokens"][0] | {"id": 50257, "content": "<|pad|>"} | token)
+    path = tmp_path / "tokenizer.json"
+    path.write_text(json.dumps(spec))
+    lib, e = Tokenizer.from_file(str(path)), token_records.TextEncoder(str(path))
+    texts = ["a <|pad|> b", "a<|pad|>b", "<|endoftext|> <|end <|pad|><|endoftext|>"]
+    assert [np.frombuffer(i, dtype=e.kind).tolist() for i in e.encode(texts)] == [lib.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 def test_mix(docs, none):
     rows = docs.collect()
     sizes = Counter()
