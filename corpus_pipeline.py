@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reelmill.llm import bpe, language_id, minhash, mixing, suffix_dedup
-from reelmill.llm.common import shared_dir, table
+from reelmill.llm.common import shared_dir, table, written
 
 #: Documents whose language is less sure than this are rejected.
 MIN_LANGUAGE_SCORE = 0.5
@@ -21,9 +21,21 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document of least id of each group that shares four fifths of its five-word shingles; null ids stay."""
-    gone = minhash.near_documents(docs, words=5, percent=80).where("not kept").select("doc_id")
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """Keeps one row of each group that shares four fifths of its five-word shingles: that of least id; null ids stay.
+
+    Rows count one by one, by a number of their own that is written before it is used: rows that share an id are judged
+    by their texts, and of repeated rows or several of the least id one stays, chosen by a hash of the row. Rows
+    without words are in no group and stay, repeated or not.
+    """
+    rows = written(docs.withColumn("_row", F.monotonically_increasing_id()).withColumn("_tie", F.xxhash64(*docs.columns)))
+    found = minhash.near_documents(rows.where("doc_id is not null"), words=5, percent=80, id_col="_row")
+    # a group's component is the least number in it: a row that is not kept has a group, a kept one heads its own
+    groups = written(found.select(F.col("doc_id").alias("_row"), F.col("component_id").alias("_group"), "kept"))
+    groups = groups.join(groups.where("not kept").select("_group").distinct(), "_group", "left_semi").select("_row", "_group")
+    members = groups.join(rows.select("_row", "doc_id", "_tie"), "_row").select("_group", F.struct("doc_id", "_tie", "_row").alias("_order"))
+    first = members.groupBy("_group").agg(F.min("_order").alias("_first"))
+    gone = members.join(first, "_group").where("_order > _first").select(F.col("_order._row").alias("_row"))
+    return rows.join(gone, "_row", "left_anti").select(*docs.columns)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -302,3 +302,16 @@ def test_pipeline(spark, tmp_path, docs):
     ids = {r["doc_id"] for r in out}
     assert out and 6 not in ids and not ids & {0, 1, 2}
     assert all(r["n_tokens"] == len(r["ids"]) for r in out)
+
+
+def test_pipeline_near_duplicates_of_repeated_ids(spark):
+    corpus_pipeline = pytest.importorskip("corpus_pipeline")
+    rng = random.Random(7)
+    a, b, c, d = (" ".join(rng.choice(WORDS) + str(rng.randint(0, 999)) for _ in range(120)) for _ in range(4))
+    near = d + " more"
+    # 5 has a copy of 2's text and one of its own; 6 is there twice; 7 has two texts that are near; null ids stay
+    rows = [(2, a), (5, a), (5, b), (6, c), (6, c), (7, d), (7, near), (None, a), (8, ""), (8, ""), (9, c)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = Counter(map(tuple, corpus_pipeline.near_duplicates(spark, docs, "").collect()))
+    assert got - Counter([(7, d), (7, near)]) == Counter([(2, a), (5, b), (6, c), (None, a), (8, ""), (8, "")])
+    assert got[7, d] + got[7, near] == 1
