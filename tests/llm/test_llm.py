@@ -315,3 +315,70 @@ def test_pipeline_near_duplicates_of_repeated_ids(spark):
     got = Counter(map(tuple, corpus_pipeline.near_duplicates(spark, docs, "").collect()))
     assert got - Counter([(7, d), (7, near)]) == Counter([(2, a), (5, b), (6, c), (None, a), (8, ""), (8, "")])
     assert got[7, d] + got[7, near] == 1
+
+
+def test_pipeline_stages_against_plain_versions(spark, docs, tmp_path):
+    corpus_pipeline = pytest.importorskip("corpus_pipeline")
+    tiktoken, duckdb = pytest.importorskip("tiktoken"), pytest.importorskip("duckdb")
+    names = ["doc_id", "text", "lang", "source", "n_chars"]
+    found = docs.select(*names)
+    by_id = lambda rows: sorted(rows, key=lambda r: r[0])
+    want = by_id(map(tuple, found.collect()))
+    stages = dict(corpus_pipeline.STAGES)
+
+    def after(name):
+        nonlocal found
+        found = stages[name](spark, found, str(tmp_path))
+        found.write.parquet(f"{tmp_path}/{name}")
+        found = spark.read.parquet(f"{tmp_path}/{name}")
+        return by_id(map(tuple, found.collect()))
+
+    # the decision by the model, one word at a time
+    model = language_id.train(found)
+
+    def sure(text):
+        words = [model.logs[r].mean(0) if (r := model.word_rows(w)) else np.zeros(len(model.languages)) for w in language_id.LETTERS.findall((text or "").lower())]
+        if not words:
+            return False
+        odds = np.exp(np.mean(words, axis=0) * min(len(words), language_id.EVIDENCE))
+        return odds.max() / odds.sum() >= corpus_pipeline.MIN_LANGUAGE_SCORE
+
+    want = [r for r in want if sure(r[1])]
+    assert after("language_id") == want
+
+    def shingles(text):
+        w = text.encode().lower().split()
+        return {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))}
+
+    sets, up = [shingles(r[1]) for r in want], list(range(len(want)))
+    for _ in want:
+        for a in range(len(want)):
+            for b in range(len(want)):
+                if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+                    up[a] = up[b] = min(up[a], up[b])
+    want = [r for i, r in enumerate(want) if up[i] == i]
+    assert after("minhash_near_dedup") == want
+
+    seen = Counter(b[i : i + 400] for r in want for b in [r[1].encode()] for i in range(len(b) - 399))
+    cut = []
+    for i, text, lang, source, _ in want:
+        b, gone = text.encode(), set()
+        for s in range(len(b) - 399):
+            if seen[b[s : s + 400]] > 1:
+                gone.update(range(s, s + 400))
+        text = bytes(x for k, x in enumerate(b) if k not in gone).decode("utf-8", "ignore")
+        cut.append((i, text, lang, source, len(text)))
+    assert cut != want and after("suffix_array_dedup") == cut
+
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR, lang VARCHAR, source VARCHAR, n_chars BIGINT)")
+    con.executemany("INSERT INTO documents VALUES (?, ?, ?, ?, ?)", cut)
+    repeats = {r[0]: r[-1] for r in con.execute(mixing.ORACLE_SQL).fetchall()}
+    want = [r for r in cut for _ in range(repeats[r[0]])]
+    found = stages["mixing"](spark, found, str(tmp_path))
+    assert by_id(map(tuple, found.collect())) == want
+
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(P.path(corpus_pipeline.TOKENIZER), "rb"))}
+    lib = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    rows = [(r[0], ids, len(ids), hashlib.sha256(r[1].encode()).hexdigest()) for r in want for ids in [lib.encode_ordinary(r[1])]]
+    assert by_id(map(tuple, stages["byte_bpe"](spark, found, str(tmp_path)).collect())) == rows
