@@ -86,6 +86,8 @@ def components(nodes: DataFrame, pairs: DataFrame, max_rounds: int = 200) -> Dat
         labels = stepped.select("id", F.col("next").alias("component"))
         if stepped.where("next < component").isEmpty():
             break
+    else:
+        raise RuntimeError("components did not settle")
     return nodes.select("id").join(labels, "id", "left").select("id", F.coalesce("component", "id").alias("component"))
 
 

@@ -188,3 +188,10 @@ def test_stream(spark, tmp_path):
         assert spark.read.parquet(f"file://{tmp_path}/out").count() == want
         (tmp_path / "in" / "a" / "y.mp4").write_bytes(b"2")
         (tmp_path / "in" / "a" / "z.mp4").write_bytes(b"1")
+
+
+def test_components_that_do_not_settle_are_an_error(spark):
+    nodes, pairs = spark.range(1, 10), spark.createDataFrame([(i, i + 1) for i in range(1, 9)], "a long, b long")
+    with pytest.raises(RuntimeError):
+        dedup.components(nodes, pairs, max_rounds=1)
+    assert {r["component"] for r in dedup.components(nodes, pairs).collect()} == {1}
