@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 import zlib
@@ -12,14 +13,17 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Rows of an Arrow batch sent to Python, so that a batch of long texts stays small.
-BATCH_ROWS = 500
+#: Rows and bytes of an Arrow batch sent to Python at most (one longer row is a batch of its own).
+BATCH_ROWS, BATCH_BYTES = 500, 4 << 20
 
 
 def session_of(df: DataFrame) -> SparkSession:
-    """The frame's session, set to small Arrow batches."""
+    """The frame's session, whose Arrow batches are made small where they are larger: long texts must not meet in one."""
     spark = df.sparkSession
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS), ("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)):
+        now = int(spark.conf.get(key).rstrip("b"))
+        if not 0 < now <= most:
+            spark.conf.set(key, str(most))
     return spark
 
 
@@ -31,9 +35,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """A new folder under ``spark.checkpoint.dir``; only where that is unset (tests), under a local one."""
+    """A new folder under ``spark.checkpoint.dir``; only where that is unset and Spark is one process, a local one."""
     top = spark.conf.get("spark.checkpoint.dir", None)
     if not top:
+        if not re.fullmatch(r"local(\[[^]]*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         top = "file://" + tempfile.mkdtemp(prefix="reelmill-")
         spark.conf.set("spark.checkpoint.dir", top)
     return f"{top.rstrip('/')}/reelmill-{uuid.uuid4().hex}"

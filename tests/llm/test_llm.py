@@ -84,9 +84,8 @@ def test_near_documents(docs, none, spark):
     assert sorted((r["doc_id"] or -1, r["kept"]) for r in minhash.near_documents(odd, words=2).collect())[0] == (-1, True)
 
 
-def test_suffix_dedup(docs, none):
-    length = 400
-    rows = [(r["doc_id"], (r["text"] or "").encode()) for r in docs.collect()]
+def without_repeats(rows, length):
+    """(id, bytes) -> id: (bytes, removed, runs removed, digest of the rest), window by window."""
     seen = Counter(b[i : i + length] for _, b in rows for i in range(len(b) - length + 1))
     want = {}
     for i, b in rows:
@@ -96,6 +95,11 @@ def test_suffix_dedup(docs, none):
                 gone[s : s + length] = b"\1" * length
         spans = sum(1 for k in range(len(b)) if gone[k] and (not k or not gone[k - 1]))
         want[i] = (len(b), sum(gone), spans, hashlib.sha256(bytes(x for x, g in zip(b, gone, strict=True) if not g)).hexdigest())
+    return want
+
+
+def test_suffix_dedup(docs, none):
+    want = without_repeats([(r["doc_id"], (r["text"] or "").encode()) for r in docs.collect()], 400)
     got = {r["doc_id"]: tuple(r)[1:] for r in suffix_dedup.removed_bytes(docs).collect()}
     assert got == want
     assert any(w[1] for w in want.values()) and suffix_dedup.without_repeats(none).count() == 0
@@ -117,7 +121,42 @@ def test_two_stage():
     rng = random.Random(1)
     for _ in range(50):
         t = bytes(rng.choice(b"ab\0") for _ in range(rng.randint(1, 80)))
-        assert suffix_dedup.two_stage(t) == sorted(range(len(t)), key=lambda i: t[i:])
+        assert suffix_dedup.two_stage(t).tolist() == sorted(range(len(t)), key=lambda i: t[i:])
+    for _ in range(200):
+        length, t = rng.choice((3, 5, 8, 11)), bytes(rng.choice(b"ab") for _ in range(rng.randint(1, 80)))
+        order = suffix_dedup.two_stage(t, length).tolist()
+        assert sorted(order) == list(range(len(t))) and sorted(windows := [t[i : i + length] for i in order]) == windows
+
+
+def test_common_prefixes():
+    rng = random.Random(3)
+    t = bytes(rng.choice(b"aab") for _ in range(300))
+    a, b = (np.array([rng.randrange(280) for _ in range(400)]) for _ in range(2))
+    plain = lambda i, j: next(k for k in range(21) if k == 20 or t[i + k] != t[j + k])
+    assert suffix_dedup.common_prefixes(t, a, b, 20).tolist() == [plain(i, j) for i, j in zip(a.tolist(), b.tolist(), strict=True)]
+    order = suffix_dedup.two_stage(b"a" * 5_000 + b"b", 40)
+    assert sorted(order.tolist()) == list(range(5_001))
+
+
+@pytest.mark.parametrize("crowd", [1, 3, 400])
+def test_suffix_dedup_of_crowds(spark, crowd):
+    """One passage in many contexts, some of which agree for a while; one text in copies, one periodic."""
+    rng = random.Random(8)
+    noise = lambda n: "".join(rng.choices("abcdefgh", k=n))
+    passage, lead = noise(130), [noise(30) for _ in range(3)]
+    rows = [(i, noise(20) + rng.choice(lead)[rng.randrange(30) :] + passage + rng.choice(lead)[: rng.randrange(30)] + noise(20)) for i in range(40)]
+    rows += [(40, rows[0][1]), (41, "ab" * 300), (42, "ab" * 70 + "c"), (43, passage), (44, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: tuple(r)[1:] for r in suffix_dedup.removed_bytes(docs, length=80, piece=200, crowd=crowd).collect()}
+    assert got == without_repeats([(i, (t or "").encode()) for i, t in rows], 80)
+
+
+def test_suffix_dedup_keeps_any_columns(spark):
+    names = "_tkey", "_rkey", "_spans", "_whole", "tkey", "row", "doc", "s", "whole", "spans", "_kept"
+    rows = [("p" * 500, *names), ("q" * 10, *names), (None, *names)]
+    out = suffix_dedup.without_repeats(spark.createDataFrame(rows, ["text", *names]))
+    assert out.columns == ["text", *names[:-1], "_n_bytes", "_n_removed", "_n_spans", "_kept"]
+    assert sorted((r["_n_bytes"], r["_n_removed"], r["_tkey"]) for r in out.collect()) == [(0, 0, "_tkey"), (10, 0, "_tkey"), (500, 500, "_tkey")]
 
 
 def test_bpe(docs, none):
