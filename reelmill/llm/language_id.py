@@ -6,6 +6,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -19,7 +20,16 @@ SAMPLE, VOCABULARY, LONGEST = 1500, 150_000, 4
 #: Words that count as evidence: a score is that of a text of at most so many words with the text's mean.
 EVIDENCE = 20
 UNKNOWN = "und"
-LETTERS = re.compile(r"[^\W\d_]+")
+#: Letters and the numerals that Python counts with them.
+ALPHANUMERIC = re.compile(r"[^\W\d_]+")
+
+
+def words_of(text: str) -> list[str]:
+    """The runs of letters; numerals of any kind (½, Ⅳ, ①) are none, nor are marks that stand by themselves."""
+    found = ALPHANUMERIC.findall(text)
+    if all(map(str.isalpha, found)):
+        return found
+    return ["".join(run) for word in found for letters, run in groupby(word, str.isalpha) if letters]
 
 
 def grams(word: str, n: int) -> list[str]:
@@ -68,7 +78,7 @@ class Model:
         word_ends, piece_ends = [0], [0]
         for piece in pieces:
             low = piece.lower()
-            for word in [low] if low.isalpha() else LETTERS.findall(low):
+            for word in [low] if low.isalpha() else words_of(low):
                 rows += self.word_rows(word)
                 word_ends.append(len(rows))
             piece_ends.append(len(word_ends) - 1)
@@ -99,7 +109,7 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
         for batch in batches:
             by: dict[str, Counter] = {}
             for text, lang in zip(column(batch, "text").to_pylist(), column(batch, "lang").to_pylist(), strict=True):
-                by.setdefault(lang, Counter()).update(LETTERS.findall((text or "").lower()))
+                by.setdefault(lang, Counter()).update(words_of((text or "").lower()))
             for lang, words in by.items():
                 found: Counter = Counter()
                 for w, n in words.items():
@@ -111,19 +121,20 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
 
     counts = map_batches(rows, count, "lang string, gram string, n long").groupBy("gram", "lang").agg(F.sum("n").alias("n"))
     by_gram = counts.groupBy("gram").agg(F.sum("n").alias("total"), F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("by"))
-    kept = by_gram.where("total > 1").orderBy(F.desc("total"), "gram").limit(vocabulary).collect()
-    languages = sorted({lang for r in kept for lang in r["by"]})
-    place = {lang: i for i, lang in enumerate(languages)}
-    table = np.zeros((len(kept), len(languages)))
-    for i, r in enumerate(kept):
-        for lang, n in r["by"].items():
-            table[i, place[lang]] = n
-    length = np.array([int(r["gram"][0]) for r in kept], dtype=int)
+    kept = by_gram.where("total > 1").orderBy(F.desc("total"), "gram").limit(vocabulary)
+    kept = kept.select("gram", F.map_keys("by").alias("langs"), F.map_values("by").alias("counts")).toArrow().combine_chunks()
+    known, langs, counts = kept["gram"].to_pylist(), kept["langs"].combine_chunks(), kept["counts"].combine_chunks()
+    of = langs.flatten().dictionary_encode()
+    languages = sorted(of.dictionary.to_pylist())
+    place = np.array([languages.index(lang) for lang in of.dictionary.to_pylist()], dtype=int)
+    table = np.zeros((len(known), len(languages)))
+    table[np.repeat(np.arange(len(known)), langs.value_lengths().to_numpy()), place[of.indices.to_numpy()]] = counts.flatten().to_numpy()
+    length = np.array([int(g[0]) for g in known], dtype=int)
     logs = np.zeros_like(table)
     for k in range(LONGEST + 1):
         if (part := length == k).any():
             logs[part] = np.log(table[part] + 0.5) - np.log(table[part].sum(0) + 0.5 * part.sum())
-    return Model(languages, {r["gram"]: i for i, r in enumerate(kept)}, logs)
+    return Model(languages, {g: i for i, g in enumerate(known)}, logs)
 
 
 def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
@@ -136,8 +147,7 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
     """
     spark = session_of(docs)
     sent = spark.sparkContext.broadcast(model)
-    rows = docs.withColumns({"_text": F.col(text_col), "_held": held_out(id_col), "_id": F.col(id_col)})
-    rows = rows.select("_id", "_held", "_text", *[F.col(c).alias(f"k_{c}") for c in keep])
+    rows = docs.select(F.col(id_col).alias("_id"), held_out(id_col).alias("_held"), F.col(text_col).alias("_text"), *[F.col(c).alias(f"k_{c}") for c in keep])
     fields = {f.name: f.dataType.simpleString() for f in rows.schema}
     schema = ", ".join([f"doc_id {fields['_id']}", "held_out boolean", "lang_pred string", "score double", *[f"`{c}` {fields[f'k_{c}']}" for c in keep]])
 
