@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -97,27 +96,29 @@ class Chain:
         return out
 
 
-def fit(rows: list[tuple[set[int], list[int]]], categories: list[str], size: int = FEATURES) -> Chain:
-    """Features are those whose presence differs most between a category and the rest; each link learns from out-of-fold probabilities."""
-    seen: Counter = Counter()
-    for found, _ in rows:
-        seen.update(found)
-    usual = [f for f, n in seen.items() if n > 2]
-    index = {f: i for i, f in enumerate(usual)}
+def fit(rows: list[tuple[np.ndarray, list[int]]], categories: list[str], size: int = FEATURES) -> Chain:
+    """Features are those whose presence differs most between a category and the rest; each link learns from out-of-fold probabilities.
+
+    rows: the distinct features of a document, and its labels.
+    """
+    every = np.concatenate([found for found, _ in rows]) if rows else np.empty(0, dtype=np.int64)
+    owner = np.repeat(np.arange(len(rows)), [len(found) for found, _ in rows])
+    known, of, n = np.unique(every, return_inverse=True, return_counts=True)
+    usual = np.nonzero(n > 2)[0]
     y = np.array([labels for _, labels in rows], dtype=float).reshape(len(rows), len(categories))
     chosen: dict[int, None] = {}
     for k in range(len(categories)):
-        counts, yes = np.zeros((2, len(usual))), y[:, k].sum()
-        for (found, _), label in zip(rows, y[:, k], strict=True):
-            counts[int(label)][[index[f] for f in found if f in index]] += 1
-        a, b = (counts[1] + 0.5) / (yes + 1), (counts[0] + 0.5) / (len(rows) - yes + 1)
+        yes, with_yes = y[:, k].sum(), np.bincount(of, weights=y[owner, k], minlength=len(known))[usual]
+        a, b = (with_yes + 0.5) / (yes + 1), (n[usual] - with_yes + 0.5) / (len(rows) - yes + 1)
         gap = np.abs(a - b) / np.sqrt((a + b) / 2)
-        for i in sorted(range(len(usual)), key=lambda i: (-gap[i], usual[i]))[: size // len(categories)]:
-            chosen[usual[i]] = None
-    place = {f: i for i, f in enumerate(chosen)}
+        for i in usual[np.lexsort((known[usual], -gap))[: size // len(categories)]].tolist():
+            chosen[i] = None
+    place = {int(known[i]): column for column, i in enumerate(chosen)}
+    column_of = np.full(len(known), -1)
+    column_of[list(chosen)] = np.arange(len(chosen))
     x = np.zeros((len(rows), len(place) + len(categories)), dtype=np.float32)
-    for r, (found, _) in enumerate(rows):
-        x[r, [place[f] for f in found if f in place]] = 1
+    at = column_of[of]
+    x[owner[at >= 0], at[at >= 0]] = 1
     fold, links = np.arange(len(rows)) % FOLDS, []
     for k in range(len(categories)):
         width = len(place) + k
@@ -159,7 +160,7 @@ def train(docs: DataFrame, labels: DataFrame, categories: list[str], sample: int
 
     got = map_batches(rows, run, f"_doc {kind}, found binary, _labels array<int>").collect()
     got = sorted(got, key=lambda r: (hash64(str(r["_doc"]).encode()), r["found"]))
-    return fit([(set(np.frombuffer(r["found"], dtype="<i8").tolist()), list(r["_labels"])) for r in got], categories)
+    return fit([(np.frombuffer(r["found"], dtype="<i8"), list(r["_labels"])) for r in got], categories)
 
 
 def classify(docs: DataFrame, chain: Chain, threshold: float = 0.5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
