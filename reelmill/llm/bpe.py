@@ -19,7 +19,7 @@ from .common import column, map_batches
 from .pretokens import cutter, pieces
 
 #: Pieces, and pre-tokens, in each of the two generations that a Python worker remembers.
-REMEMBERED = 400_000
+REMEMBERED = 120_000
 #: Bytes of pre-tokens that share one rank queue; a longer pre-token has one to itself.
 SHARED = 1 << 17
 
