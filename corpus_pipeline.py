@@ -10,37 +10,55 @@ from reelmill.llm.common import shared_dir, table, written
 
 #: Documents whose language is less sure than this are rejected.
 MIN_LANGUAGE_SCORE = 0.5
+#: A repeated passage: bytes that it shares at least, the gram that stands for them, words that a run of them holds at least.
+PASSAGE_BYTES, PASSAGE_GRAM, PASSAGE_WORDS = 200, 48, 51
 TOKENIZER = "byte_bpe_multi_50k.tiktoken"
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps documents in a known language: those without a letter and those that fit no language well go."""
-    rest = tuple(c for c in docs.columns if c != "doc_id")
-    found = language_id.identify(docs, language_id.train(docs), keep=rest)
-    return found.where((F.col("lang_pred") != language_id.UNKNOWN) & (F.col("score") >= MIN_LANGUAGE_SCORE)).select(*docs.columns)
+    named = {c: f"c{i}" for i, c in enumerate(docs.columns)}  # no column can be taken for a result
+    plain = docs.toDF(*named.values())
+    model = language_id.train(plain, named["doc_id"], named["text"], named["lang"])
+    found = language_id.identify(plain, model, named["doc_id"], named["text"], keep=tuple(named.values()))
+    sure = (F.col("lang_pred") != language_id.UNKNOWN) & (F.col("score") >= MIN_LANGUAGE_SCORE)
+    return found.where(sure).select(*[F.col(new).alias(c) for c, new in named.items()])
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one row of each group that shares four fifths of its five-word shingles: that of least id; null ids stay.
 
-    Rows count one by one, by a number of their own that is written before it is used: rows that share an id are judged
-    by their texts, and of repeated rows or several of the least id one stays, chosen by a hash of the row. Rows
-    without words are in no group and stay, repeated or not.
+    Rows count one by one, by two hashes of all their columns: rows that share an id are judged by their texts, and of
+    several of the least id one stays, chosen by the hashes; of rows that are equal in all columns one stays too. Rows
+    without words are in no group and stay, repeated or not. The texts move once, with the rows that stay; what decides
+    is narrow.
     """
-    rows = written(docs.withColumn("_row", F.monotonically_increasing_id()).withColumn("_tie", F.xxhash64(*docs.columns)))
-    found = minhash.near_documents(rows.where("doc_id is not null"), words=5, percent=80, id_col="_row")
-    # a group's component is the least number in it: a row that is not kept has a group, a kept one heads its own
-    groups = written(found.select(F.col("doc_id").alias("_row"), F.col("component_id").alias("_group"), "kept"))
-    groups = groups.join(groups.where("not kept").select("_group").distinct(), "_group", "left_semi").select("_row", "_group")
-    members = groups.join(rows.select("_row", "doc_id", "_tie"), "_row").select("_group", F.struct("doc_id", "_tie", "_row").alias("_order"))
-    first = members.groupBy("_group").agg(F.min("_order").alias("_first"))
-    gone = members.join(first, "_group").where("_order > _first").select(F.col("_order._row").alias("_row"))
-    return rows.join(gone, "_row", "left_anti").select(*docs.columns)
+    plain = [F.to_json(f"`{f.name}`") if "map<" in f.dataType.simpleString() else F.col(f"`{f.name}`") for f in docs.schema]
+    one, two = F.xxhash64(*plain), F.xxhash64(F.lit("row"), *[c.isNull() for c in plain], *plain)
+    narrow = docs.select("doc_id", "text", one.alias("one"), two.alias("two"))
+    rows, groups = minhash.near_rows(narrow, words=5, percent=80, keep=("one", "two"))
+    members = rows.join(groups, "set_key").select("component", F.struct("doc_id", "one", "two").alias("place"))
+    first = members.groupBy("component").agg(F.min("place").alias("first"), F.max("place").alias("last")).where("first < last")
+    first = first.select("component", "first").hint("rebalance")  # so that the join can be split where a group is large
+    gone = written(members.join(first, "component").where("place > first").select("place.one", "place.two").distinct())
+    equal = written(rows.where("set_key is not null").groupBy("one", "two").count().where("count > 1").select("one", "two"))
+    keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), one.alias("one"), two.alias("two"))
+    if equal.isEmpty():
+        kept = keyed.join(gone, ["one", "two"], "left_anti").select("doc")
+    else:
+        single = keyed.join(gone.union(equal).distinct(), ["one", "two"], "left_anti").select("doc")
+        several = keyed.join(equal.join(gone, ["one", "two"], "left_anti"), ["one", "two"], "left_semi")
+        kept = single.union(several.groupBy("one", "two").agg(F.any_value("doc").alias("doc")).select("doc"))
+    return kept.select("doc.*")
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Takes passages of 400 bytes that start more than once out of the texts; n_chars follows, null texts stay null."""
-    out = suffix_dedup.without_repeats(docs, whole_characters=True)
+    """Takes passages of over 50 words that start more than once out of the texts; n_chars follows, null texts stay null.
+
+    A passage is a run of bytes that strings of 200 repeated bytes cover, in this text or any other; words cut at its
+    ends count. Every place of it goes. Passages of 51 words are often under 400 bytes, so the length is not op10's.
+    """
+    out = suffix_dedup.without_repeats(docs, length=PASSAGE_BYTES, gram=PASSAGE_GRAM, min_words=PASSAGE_WORDS, whole_characters=True)
     text = F.when(F.col("text").isNotNull(), F.col("_kept").cast("string"))
     return out.withColumn("text", text).withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 

@@ -49,7 +49,17 @@ def written(df: DataFrame) -> DataFrame:
     """The frame written to the shared folder and read back: cuts lineage and survives lost executors."""
     path = shared_dir(df.sparkSession)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    table.written_to = path
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes written tables that nothing to come reads: what was made of them has been written itself."""
+    for df in tables:
+        spark = df.sparkSession
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(df.written_to)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def held_out(id_col: str = "doc_id") -> Column:

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import column, hash64, map_batches, mix64, session_of, written
+from .common import column, discard, hash64, map_batches, mix64, session_of, written
 from .components import components
 from .near_vectors import Forest
 
@@ -35,7 +35,7 @@ class WordHashes(dict):
     """Hashes of words, kept up to a number of words."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 400_000:
+        if len(self) > 100_000:
             self.clear()
         h = self[word] = hash64(word)
         return h
@@ -64,7 +64,7 @@ def signature(shingles: np.ndarray) -> np.ndarray:
     return least.astype(np.uint32)
 
 
-def _signed(docs: DataFrame, words: int) -> DataFrame:
+def _signed(docs: DataFrame, words: int, keep: tuple[str, ...]) -> DataFrame:
     import xxhash
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -78,9 +78,10 @@ def _signed(docs: DataFrame, words: int) -> DataFrame:
                 tokens.append(signature(s).view(np.int32) if len(s) else np.empty(0, dtype=np.int32))
             ends = np.cumsum([0, *map(len, tokens)], dtype=np.int32)
             values = pa.array(np.concatenate(tokens)) if tokens else pa.array([], pa.int32())
-            yield pa.RecordBatch.from_arrays([column(batch, "doc_id"), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.ListArray.from_arrays(pa.array(ends), values)], names=["doc_id", "n_shingles", "set_key", "signature"])
+            cols = [column(batch, "doc_id"), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.ListArray.from_arrays(pa.array(ends), values)]
+            yield pa.RecordBatch.from_arrays([*cols, *[column(batch, c) for c in keep]], names=["doc_id", "n_shingles", "set_key", "signature", *keep])
 
-    return map_batches(docs, run, "doc_id long, n_shingles long, set_key binary, signature array<int>")
+    return map_batches(docs, run, "doc_id long, n_shingles long, set_key binary, signature array<int>" + "".join(f", {c} long" for c in keep))
 
 
 def _similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
@@ -189,6 +190,8 @@ def _linked(rows: DataFrame, payload: list[str], load, link, block: int) -> Data
     first = written(_met(one, payload, load, link, False))
     links = first.where("a is not null").select("a", "b")
     if sizes.isEmpty():
+        links = written(links)
+        discard(sizes, first)
         return links
     large = dealt.where("large")
     of = first.where("g is not null").select("g", "rep", "root")
@@ -205,7 +208,9 @@ def _linked(rows: DataFrame, payload: list[str], load, link, block: int) -> Data
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
     again = state.select("*", other).where("other <> block").withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other")).withColumn("side", F.col("block"))
     third = written(_met(again.withColumn("large", F.lit(False)), payload, load, link, True))
-    return links.union(third.select("a", "b"))
+    links = written(links.union(third.select("a", "b")))
+    discard(sizes, first, second, third)
+    return links
 
 
 def _low_bytes(signature: str) -> Column:
@@ -213,26 +218,30 @@ def _low_bytes(signature: str) -> Column:
     return F.unhex(F.array_join(F.transform(signature, lambda x: F.lpad(F.hex(F.pmod(x, F.lit(256))), 2, "0")), ""))
 
 
-def near_documents(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text", block: int = BLOCK) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id, kept. Documents link at Jaccard * 100 >= percent.
+def near_rows(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text", block: int = BLOCK, keep: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
+    """Documents whose sets link at Jaccard * 100 >= percent: (rows, groups), both written.
 
-    Null, empty and blank texts have the empty set and link with nothing; with fewer words than a shingle the whole
-    sequence is one. A null id links with nothing, its component is null and it is kept. Rows that repeat an id count
-    as one document if their sets are equal. Only id and text are read; an empty table gives no rows.
-
-    1. Equal sets become one representative. 2. It is posted under each coordinate and value of its signature. A pair
-    with enough agreeing coordinates shares one of the rarest (coordinates - needed + 1) of either; only postings in
-    that prefix are merged, the longer lists are skipped. The members of a list count their collisions, by a byte a
-    coordinate, and a spanning forest of the pairs with enough leaves it: never more rows than members. 3. The
-    documents so connected are a cluster, whose texts meet; pairs with enough collisions of whole signatures are
-    confirmed on whole shingle sets, the likeliest first, skipping what is joined already. ``_linked`` says how long
-    lists and large clusters are split.
+    rows: doc_id, n_shingles, set_key and the long columns ``keep`` of each row; set_key is null where the set is empty
+    or the id null. groups: set_key, component (a number) and least, the smallest id of the component. Rows count by
+    their sets, so that an id that repeats with another text is another document.
+
+    1. Equal sets become one representative, with a number. 2. It is posted under each coordinate and value of its
+    signature. A pair with enough agreeing coordinates shares one of the rarest (coordinates - needed + 1) of either;
+    only postings in that prefix are merged, the longer lists are skipped. The members of a list count their
+    collisions, by a byte a coordinate, and a spanning forest of the pairs with enough leaves it: never more rows than
+    members. 3. The documents so connected are a cluster, whose texts meet; pairs with enough collisions of whole
+    signatures are confirmed on whole shingle sets, the likeliest first, skipping what is joined already. ``_linked``
+    says how long lists and large clusters are split. Tables are deleted as soon as what follows from them is written.
     """
     session_of(docs)
     needed = matches_needed(percent)
-    base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    signed = written(_signed(base, words))
-    reps = written(signed.where("doc_id is not null and set_key is not null").groupBy("set_key").agg(F.min("doc_id").alias("rep"), F.any_value("signature").alias("signature")))
+    base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), *keep)
+    signed = written(_signed(base, words, keep))
+    usable = signed.where("doc_id is not null and set_key is not null")
+    reps = usable.groupBy("set_key").agg(F.min("doc_id").alias("who"), F.any_value("signature").alias("signature"))
+    reps = written(reps.withColumn("rep", F.monotonically_increasing_id()))
+    rows = written(signed.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("set_key")).alias("set_key"), *keep))
+    discard(signed)
     postings = reps.select("rep", F.posexplode("signature")).select("rep", (F.shiftleft(F.col("pos").cast("long"), 32) + F.col("col")).alias("token"))
     frequent = postings.groupBy("token").agg(F.count("*").alias("n")).where("n > 1")
     mine = postings.join(frequent, "token").groupBy("rep").agg(F.sort_array(F.collect_list(F.struct("n", "token"))).alias("shared"))
@@ -240,9 +249,12 @@ def near_documents(docs: DataFrame, words: int = 5, percent: int = 80, id_col: s
     few = mine.where(F.size("shared") >= needed).join(reps.select("rep", _low_bytes("signature").alias("low")), "rep")
     prefix = few.select("rep", "low", F.explode(F.slice("shared", 1, F.size("shared") - needed + 1)).alias("p"))
     prefix = written(prefix.select(F.col("p.token").alias("g"), "rep", "low"))
+    sets = written(reps.select("set_key", "rep", "who"))
+    discard(reps)
     candidates = _linked(prefix, ["low"], lambda v, _: v[0], lambda rows, cross: _collisions(rows, cross, needed), block)
-    clusters = components(candidates).select(F.col("node").alias("rep"), F.col("component").alias("g")).join(reps.select("rep", "set_key"), "rep")
-    texts = written(base.join(clusters, base["doc_id"] == clusters["rep"]).select("g", "rep", "set_key", "text"))
+    discard(prefix)
+    clusters = components(candidates).select(F.col("node").alias("rep"), F.col("component").alias("g")).join(sets, "rep")
+    texts = written(base.select("doc_id", "text").join(clusters, F.col("doc_id") == F.col("who")).select("g", "rep", "set_key", "text"))
 
     def load(value: tuple, known: WordHashes) -> np.ndarray | None:
         import xxhash
@@ -251,10 +263,28 @@ def near_documents(docs: DataFrame, words: int = 5, percent: int = 80, id_col: s
         return shingles if xxhash.xxh3_128_digest(shingles.tobytes()) == value[0] else None  # another text with the same id
 
     links = _linked(texts, ["set_key", "text"], load, lambda rows, cross: _links(rows, cross, needed, percent), block)
+    discard(texts, candidates)
     joined = components(links)
-    groups = reps.select(F.col("set_key").alias("_key"), "rep").join(joined, F.col("rep") == F.col("node"), "left").select("_key", F.coalesce("component", "rep").alias("_component"))
-    out = signed.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("set_key")).alias("_set")).join(groups, F.col("_set") == F.col("_key"), "left")
-    component = F.coalesce("_component", "doc_id")
+    linked = joined.join(sets, F.col("node") == F.col("rep")).select("component", "rep", "set_key", "who")
+    least = linked.groupBy("component").agg(F.min("who").alias("least")).hint("rebalance")
+    linked = linked.join(least, "component").select("set_key", "component", "least")
+    alone = sets.join(joined, F.col("node") == F.col("rep"), "left_anti").select("set_key", F.col("rep").alias("component"), F.col("who").alias("least"))
+    groups = written(linked.union(alone))
+    discard(sets, links)
+    return rows, groups
+
+
+def near_documents(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text", block: int = BLOCK) -> DataFrame:
+    """One row per document: doc_id, n_shingles, component_id, kept. Documents link at Jaccard * 100 >= percent.
+
+    Null, empty and blank texts have the empty set and link with nothing; with fewer words than a shingle the whole
+    sequence is one. A null id links with nothing, its component is null and it is kept. Rows that repeat an id are
+    judged by their texts, each for itself. Only id and text are read; an empty table gives no rows. ``near_rows`` has
+    the method.
+    """
+    rows, groups = near_rows(docs, words, percent, id_col, text_col, block)
+    out = rows.join(groups.select(F.col("set_key").alias("key"), "least"), F.col("set_key") == F.col("key"), "left")
+    component = F.coalesce("least", "doc_id")
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
 
 

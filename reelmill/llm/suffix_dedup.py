@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import column, map_batches, mix64, session_of, written
+from .common import column, discard, map_batches, mix64, session_of, written
 
 #: Bytes of a repeated string, of a gram that stands for it, and of a piece of text that is worked on at once.
 LENGTH, GRAM, PIECE = 400, 200, 1 << 20
@@ -399,9 +399,11 @@ def repeats(texts: DataFrame, length: int, gram: int, piece: int, crowd: int = C
         hits = hits.join(first.select("tkey", F.col("row").alias("first")), "tkey")
         cut = texts.join(hits, "tkey").where("row = first").select("tkey", "text", "runs")
     excerpts = written(_excerpts(cut, length))
-    places = excerpts.select("tkey", "v", "s0", "ekey").distinct()
+    discard(runs)
+    places = written(excerpts.select("tkey", "v", "s0", "ekey").distinct())
     at = F.xxhash64("tkey", "s0")
     distinct = written(excerpts.groupBy("v", "ekey", "excerpt").agg((F.min(at) < F.max(at)).alias("many")))
+    discard(excerpts)
     sizes = distinct.groupBy("v").agg(F.count("*").alias("n"), F.sum(F.octet_length("excerpt")).alias("bytes"))
     crowds = written(sizes.where(f"n > {crowd} or n > 1 and bytes > {crowd_bytes}").select("v"))
     if crowds.isEmpty():
@@ -414,6 +416,7 @@ def repeats(texts: DataFrame, length: int, gram: int, piece: int, crowd: int = C
         inner = repeats(again.select("tkey", "text"), length, length - (length - gram) // 4, piece, crowd, crowd_bytes)
         known = again.where("not many").join(inner, "tkey").select("v", "ekey", "spans")
         spans = written(spans.union(crowded.where("many").select("v", "ekey", _all_of("excerpt").alias("spans"))).union(known))
+    discard(distinct)
     found = places.join(spans, ["v", "ekey"]).select("tkey", F.explode("spans").alias("s"), "s0")
     return _merged(found.select("tkey", (F.col("s0") + F.col("s.a")).alias("a"), (F.col("s0") + F.col("s.b")).alias("b")))
 
