@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import io
-import json
+import re
 import tarfile
 from collections.abc import Iterator
 
@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from reelmill.functions.expressions import megabytes, shard_file, shard_key
+from reelmill.functions.expressions import megabytes, shard_file, shard_key, stem
 
 from .tables import written
 
@@ -45,60 +45,115 @@ def metadata(samples: DataFrame, columns: list[str]) -> DataFrame:
 def write_tars(samples: DataFrame, folder: str, members: dict[str, str]) -> DataFrame:
     """One tar a shard: for each sample ``<key>.<suffix>`` from a column, left out where it is null.
 
-    Returns a row a shard: shard, size_bytes, samples. Files go through the file system of the folder's URI, by a name
-    of the attempt first, so that a task that is run again leaves no half file.
+    Returns a row a shard: shard, size_bytes, samples. A task reads its shards' samples in order and appends each to the
+    open tar, so that it holds a batch of them at a time. Files go through the file system of the folder's URI by a name
+    of the attempt first; a task that is run again finds the shard there and leaves it.
     """
+    columns = list(dict.fromkeys(["shard", "position", "key", *members.values()]))
 
-    def pack(rows: pd.DataFrame) -> pd.DataFrame:
+    def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import uuid
 
         from pyarrow import fs
 
         store, at = fs.FileSystem.from_uri(folder)
         store.create_dir(at, recursive=True)
-        name = rows["shard"].iloc[0]
-        attempt = f"{at}/{name}.{uuid.uuid4().hex}"
-        with store.open_output_stream(attempt) as out, tarfile.open(fileobj=out, mode="w|") as tar:
-            for row in rows.sort_values("position").to_dict("records"):
+        shard, tar, out, attempt, count = None, None, None, "", 0
+
+        def close() -> pd.DataFrame:
+            tar.close()
+            out.close()
+            if store.get_file_info(f"{at}/{shard}").type == fs.FileType.NotFound:
+                store.move(attempt, f"{at}/{shard}")
+            else:
+                store.delete_file(attempt)
+            return pd.DataFrame([(shard, store.get_file_info(f"{at}/{shard}").size, count)], columns=["shard", "size_bytes", "samples"])
+
+        for rows in batches:
+            for row in rows.to_dict("records"):
+                if row["shard"] != shard:
+                    if tar:
+                        yield close()
+                    shard, attempt, count = row["shard"], f"{at}/.{row['shard']}.{uuid.uuid4().hex}", 0
+                    out = store.open_output_stream(attempt)
+                    tar = tarfile.open(fileobj=out, mode="w|")
+                count += 1
                 for suffix, column in members.items():
-                    data = row[column]
-                    if data is None:
-                        continue
-                    data = data.encode() if isinstance(data, str) else bytes(data)
-                    info = tarfile.TarInfo(f"{row['key']}.{suffix}")
-                    info.size = len(data)
-                    tar.addfile(info, io.BytesIO(data))
-        store.move(attempt, f"{at}/{name}")
-        return pd.DataFrame([(name, store.get_file_info(f"{at}/{name}").size, len(rows))], columns=["shard", "size_bytes", "samples"])
+                    if (data := row[column]) is not None:
+                        data = data.encode() if isinstance(data, str) else bytes(data)
+                        info = tarfile.TarInfo(f"{row['key']}.{suffix}")
+                        info.size = len(data)
+                        tar.addfile(info, io.BytesIO(data))
+        if tar:
+            yield close()
 
-    columns = list(dict.fromkeys(["shard", "position", "key", *members.values()]))
-    return samples.select(*columns).groupBy("shard").applyInPandas(pack, "shard string, size_bytes long, samples long")
+    dealt = samples.select(*columns).repartition("shard").sortWithinPartitions("shard", "position")
+    return dealt.mapInPandas(pack, "shard string, size_bytes long, samples long")
+
+
+def _opened(path: str):
+    """The file system that a URI of Spark's names, and the path in it."""
+    from pyarrow import fs
+
+    return fs.FileSystem.from_uri(re.sub(r"^file:/(?!/)", "file:///", path))
 
 
 def tar_members(files: DataFrame, suffix: str = "") -> DataFrame:
-    """binaryFile rows -> (path, name, size, data) of members with the suffix, folders stripped; a damaged tar gives none."""
+    """Rows with a path -> (path, name, size, data) of the tar's members with the suffix, folders stripped.
+
+    The tar, compressed or not, is read as a stream, a member at a time; a damaged one gives none.
+    """
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in batches:
-            for path, content in zip(rows["path"], rows["content"], strict=True):
-                found = []
+            for path in rows["path"]:
+                store, at = _opened(path)
                 try:
-                    with tarfile.open(fileobj=io.BytesIO(content)) as tar:
-                        for m in tar.getmembers():
+                    with store.open_input_stream(at, compression=None) as f, tarfile.open(fileobj=f, mode="r|*") as tar:
+                        for m in tar:
                             if m.isfile() and m.name.endswith(suffix):
-                                found.append((path, m.name.rpartition("/")[2], m.size, tar.extractfile(m).read()))
-                except tarfile.TarError:
-                    found = []
-                yield pd.DataFrame(found, columns=["path", "name", "size", "data"])
+                                yield pd.DataFrame([(path, m.name.rpartition("/")[2], m.size, tar.extractfile(m).read())], columns=["path", "name", "size", "data"])
+                except (tarfile.TarError, EOFError, OSError):
+                    continue
 
-    return files.select("path", "content").mapInPandas(read, "path string, name string, size long, data binary")
+    return files.select("path").mapInPandas(read, "path string, name string, size long, data binary")
+
+
+def shard_files(files: DataFrame, suffix: str = ".mp4") -> DataFrame:
+    """Rows with path and length of tars -> name, size_bytes, samples; only members' headers are read, damaged tars have 0."""
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows in batches:
+            out = []
+            for path, length in zip(rows["path"], rows["length"], strict=True):
+                store, at = _opened(path)
+                try:
+                    with store.open_input_file(at) as f, tarfile.open(fileobj=f, mode="r:") as tar:
+                        n = sum(m.name.endswith(suffix) for m in tar)
+                except (tarfile.TarError, EOFError, OSError):
+                    n = 0
+                out.append((path.rpartition("/")[2], length, n))
+            yield pd.DataFrame(out, columns=["name", "size_bytes", "samples"])
+
+    return files.select("path", "length").mapInPandas(count, "name string, size_bytes long, samples long")
 
 
 def shard_stats(files: DataFrame) -> DataFrame:
-    """binaryFile rows of tars -> count, samples, bytes and MB over all; a damaged tar counts with no samples."""
-    samples = tar_members(files, ".mp4").agg(F.count("*").alias("total_samples"))
-    return files.agg(F.count("*").alias("count"), F.coalesce(F.sum("length"), F.lit(0)).alias("total_bytes")).crossJoin(samples).withColumn("total_mb", megabytes("total_bytes"))
+    """Rows with path and length of tars -> count, samples, bytes, MB over all, and the files in order of their names."""
+    total = F.coalesce(F.sum("size_bytes"), F.lit(0))
+    found = F.sort_array(F.collect_list(F.struct("name", "size_bytes", "samples"))).alias("files")
+    out = shard_files(files).agg(F.count("*").alias("count"), F.coalesce(F.sum("samples"), F.lit(0)).alias("total_samples"), total.alias("total_bytes"), found)
+    return out.withColumn("total_mb", megabytes("total_bytes")).select("count", "total_samples", "total_bytes", "total_mb", "files")
+
+
+def labelled_clips(tars: DataFrame, lookup: DataFrame, suffix: str = ".mp4") -> DataFrame:
+    """Clips of downloaded archives with the label of the id in their name: path, name, yt_id, label, data."""
+    from reelmill.sources.readers import with_label
+
+    return with_label(tar_members(tars, suffix), lookup).select("path", "name", "yt_id", "label", "data")
 
 
-def loads(text: str) -> dict:
-    return json.loads(text)
+def with_latents(samples: DataFrame, latents: DataFrame) -> DataFrame:
+    """Samples with ``latent``, the bytes of the row of the same stem, null where there is none."""
+    found = latents.select(F.col("stem").alias("_stem"), F.col("data").alias("latent"))
+    return samples.join(found, stem("path") == F.col("_stem"), "left").drop("_stem")

@@ -13,6 +13,35 @@ def label_distribution(clips: DataFrame, label: str = "label") -> DataFrame:
     return clips.groupBy(label).agg(F.count("*").alias("clips"))
 
 
+def top_labels(clips: DataFrame, n: int = 30, label: str = "label") -> DataFrame:
+    """The n labels with most clips, ties by label."""
+    return label_distribution(clips, label).orderBy(F.desc("clips"), label).limit(n)
+
+
+def class_totals(clips: DataFrame, label: str = "label") -> DataFrame:
+    """n_classes and total_clips; a null label is no class."""
+    found = label_distribution(clips, label)
+    return found.agg(F.count(label).alias("n_classes"), F.coalesce(F.sum("clips"), F.lit(0)).alias("total_clips"))
+
+
+def throughput(results: DataFrame, begin: Column, end: Column) -> DataFrame:
+    """Rows a second between the least begin and the greatest end (seconds), null without time between them."""
+    took = F.max(end) - F.min(begin)
+    return results.agg(F.count("*").alias("clips"), F.round(took, 3).alias("seconds"), F.when(took > 0, F.round(F.count("*") / took, 3)).alias("clips_per_s"))
+
+
+def first_paths(clips: DataFrame, n: int) -> DataFrame:
+    """The first n clips in order of folder and file name."""
+    return clips.orderBy(F.regexp_replace("path", "[^/]*$", ""), F.regexp_extract("path", "[^/]*$", 0)).limit(n)
+
+
+def metrics(run: str, stage: str, summary_row: DataFrame) -> DataFrame:
+    """A summary of one row as rows (run, stage, metric, value); texts are left out."""
+    numbers = [c for c, t in summary_row.dtypes if t in ("int", "bigint", "double", "float")]
+    wide = summary_row.select(*[F.col(c).cast("double").alias(c) for c in numbers])
+    return wide.unpivot([], numbers, "metric", "value").select(F.lit(run).alias("run"), F.lit(stage).alias("stage"), "metric", "value")
+
+
 def rare_labels(clips: DataFrame, min_clips: int = 10, label: str = "label") -> DataFrame:
     return label_distribution(clips, label).where(F.col("clips") < min_clips)
 
@@ -22,8 +51,12 @@ def status_counts(results: DataFrame) -> DataFrame:
 
 
 def summary(x: str, digits: int = 3) -> list[Column]:
-    """Mean, exact median, population deviation, least and greatest."""
-    found = {"mean": F.avg(x), "median": F.median(x), "std": F.stddev_pop(x), "min": F.min(x), "max": F.max(x)}
+    """Mean, exact median, population deviation, least and greatest.
+
+    The median is one of values of four digits, as the signals have: what it counts is bounded by their range, not by
+    the rows.
+    """
+    found = {"mean": F.avg(x), "median": F.median(F.round(x, 4)), "std": F.stddev_pop(x), "min": F.min(x), "max": F.max(x)}
     return [F.round(c, digits).alias(k) for k, c in found.items()]
 
 
@@ -77,6 +110,18 @@ def principal_shares(vectors: DataFrame, vector: str, k: int = 2) -> DataFrame:
     return vectors.sparkSession.createDataFrame([(i + 1, float(x)) for i, x in enumerate(model.explainedVariance)], "component int, share double")
 
 
+def principal_points(vectors: DataFrame, id_col: str, vector: str, limit: int = 2000) -> DataFrame:
+    """(id, x, y): the first ``limit`` vectors in id order on their two principal axes, less their mean; signs are free."""
+    from pyspark.ml.feature import PCA
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+
+    rows = vectors.where(F.col(vector).isNotNull()).orderBy(id_col).limit(limit)
+    rows = rows.select(F.col(id_col).alias("id"), array_to_vector(F.col(vector).cast("array<double>")).alias("_v"))
+    out = PCA(k=2, inputCol="_v", outputCol="_p").fit(rows).transform(rows).select("id", vector_to_array("_p").alias("_p"))
+    mean = out.agg(F.avg(F.col("_p")[0]).alias("_x"), F.avg(F.col("_p")[1]).alias("_y"))
+    return out.crossJoin(F.broadcast(mean)).select("id", (F.col("_p")[0] - F.col("_x")).alias("x"), (F.col("_p")[1] - F.col("_y")).alias("y"))
+
+
 def dense_label_index(clips: DataFrame, label: str = "label") -> DataFrame:
     """(label, index): distinct labels numbered in order; the table has a row a label."""
     return clips.select(label).distinct().withColumn("index", F.dense_rank().over(W.orderBy(label)) - 1)

@@ -13,8 +13,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reelmill.functions import expressions as X
-from reelmill.operators import dedup, filtering, gates, manifest, shards, statistics
+from reelmill import cli
+from reelmill.operators import dedup, filtering, frames, gates, manifest, shards, statistics, tables
 from reelmill.operators.tables import shared_dir
+from reelmill.plans import flow
+from reelmill.sources import readers, writers
 
 NEAR, MOTION_GATE, SHARD_SIZE, SIM = 0.42, 5.7, 50, 0.1
 QUERY = [((7 * i) % 5 - 2) / 10 for i in range(64)]
@@ -110,7 +113,11 @@ pairs AS (SELECT least(id, other) AS a, greatest(id, other) AS b, max(sim) AS si
 edges AS (SELECT a, b FROM pairs UNION SELECT b, a FROM pairs),
 reach(x, y) AS (SELECT a, b FROM edges UNION SELECT r.x, e.b FROM reach r JOIN edges e ON r.y = e.a),
 near AS (SELECT id, coalesce(least(id, m), id) AS component FROM vectors LEFT JOIN (SELECT x, min(y) AS m FROM reach GROUP BY x) ON id = x),
-sampled AS (SELECT doc_id, n_chars % 70 AS n FROM documents)
+sampled AS (SELECT doc_id, n_chars % 70 AS n FROM documents),
+own AS (SELECT id, u FROM units JOIN clips ON doc_id = id JOIN exact USING (path) WHERE kept),
+own_ranked AS (SELECT a.id, b.id AS other, list_dot_product(a.u, b.u) AS sim, row_number() OVER (PARTITION BY a.id ORDER BY list_dot_product(a.u, b.u) DESC, b.id) AS r FROM own a, own b),
+own_edges AS (SELECT id AS a, other AS b FROM own_ranked WHERE r <= 50 AND id <> other AND sim >= {NEAR} UNION SELECT other, id FROM own_ranked WHERE r <= 50 AND id <> other AND sim >= {NEAR}),
+own_reach(x, y) AS (SELECT a, b FROM own_edges UNION SELECT r.x, e.b FROM own_reach r JOIN own_edges e ON r.y = e.a)
 """
 _GATES = {"min_motion": MOTION_GATE}
 
@@ -158,11 +165,126 @@ def _tar_roundtrip(s, f):
     return shards.tar_members(files, ".mp4").select("name", "size", F.md5("data").alias("md5"))
 
 
-def _shard_stats(s, f):
+def _shard_files(s, f):
     folder = shared_dir(s)
-    made = shards.write_tars(_samples(s, f), folder, {"mp4": "content"})
-    made.collect()
-    return shards.shard_stats(s.read.format("binaryFile").option("pathGlobFilter", "*.tar").load(folder)).select("count", "total_samples")
+    shards.write_tars(_samples(s, f), folder, {"mp4": "content"}).collect()
+    return s.read.format("binaryFile").option("pathGlobFilter", "shard_*.tar").load(folder)
+
+
+#: A tar holds a header and whole blocks of 512 bytes a member, two empty blocks, and fills records of 10,240 bytes.
+_TARS = f"SELECT shard_idx, printf('shard_%05d.tar', shard_idx) AS name, (ceil((sum(512 + ceil(strlen(content) / 512.0) * 512) + 1024) / 10240.0) * 10240)::BIGINT AS size_bytes, count(*) AS samples FROM ({_SAMPLES}) GROUP BY 1, 2"
+
+
+def _manifest_files(s, f):
+    folder, stats = shared_dir(s), shards.shard_stats(_shard_files(s, f))
+    for k, (version, t) in enumerate((("v1", 4.5), ("v2", 5.0))):
+        row = manifest.document(_manifest(s, f, version, t), stats, f"2024-01-0{k + 1}T03:04:05.678901+00:00", "raw_videos", {"min_score": str(t)}, {"min_score": t, "min_motion": MOTION_GATE, "min_quality": 0.65, "dedup": NEAR})
+        writers.write_object(row, f"{folder}/{version}.json")
+    return cli.manifests(s, folder)
+
+
+def _near_of_exact(s, f):
+    """Near duplicates among the clips that exact dedup keeps and that have a vector, by path."""
+    kept = dedup.exact_dedup(clips(s, f)).where("kept").join(clips(s, f).select("path", "doc_id"), "path")
+    rows = tables.written(vectors(s, f).join(kept, F.col("id") == F.col("doc_id")).select("id", "v", "path"))
+    return dedup.near_dedup(rows.select("id", "v"), NEAR).join(rows.select("id", "path"), "id").select("path", "kept")
+
+
+def _dedup_file(s, f):
+    path = f"{shared_dir(s)}/dedup_results.json"
+    near = tables.written(_near_of_exact(s, f))
+    writers.write_object(writers.dedup_result(dedup.exact_dedup(clips(s, f)), near, NEAR), path)
+    return readers.dedup_decisions(s, path)
+
+
+def _filter_file(s, f):
+    path = f"{shared_dir(s)}/filter_results.json"
+    rows = _filtered(s, f).select(F.col("id").cast("string").alias("path"), "similarity", "kept")
+    writers.write_object(writers.filter_result(rows, "a query", SIM, False), path)
+    found = readers.records(s, path, "query string, threshold double, inverted boolean, total long, kept array<struct<path:string,similarity:double>>, removed array<string>")
+    return found.select("query", "total", F.posexplode("kept").alias("place", "k")).select("query", "total", F.col("place").cast("long").alias("place"), "k.path", "k.similarity")
+
+
+def _stats_file(s, f):
+    path, c = f"{shared_dir(s)}/dataset_stats.json", clips(s, f)
+    row = writers.stats_object(statistics.label_distribution(c), statistics.class_totals(c), statistics.rare_labels(c, 300), scores=statistics.score_summary(scores(s, f)), captions=statistics.caption_coverage(c, captions(s, f)))
+    writers.write_object(row, path)
+    found = readers.records(s, path, "label_distribution map<string,long>, n_classes long, total_clips long, underrepresented_classes array<string>, scores struct<n:long,mean:double>, captions struct<captioned:long>")
+    return found.select(F.explode("label_distribution").alias("label", "clips"), "n_classes", "total_clips", F.col("scores.n").alias("scored"), "captions.captioned").withColumn("rare", F.col("clips") < 300)
+
+
+def _npz_roundtrip(s, f):
+    folder = shared_dir(s)
+    v = vectors(s, f).where("id < 40").select(F.concat(F.lit("clip"), F.col("id").cast("string")).alias("stem"), F.concat(F.lit("videos/"), F.col("id").cast("string")).alias("path"), F.col("v").alias("mean_embedding"), F.array("v").alias("frame_embeddings"))
+    writers.write_npz(v, folder).count()
+    return readers.npz_vectors(s, folder).select("path", F.round(X.dot("mean_embedding", F.col("frame_embeddings")[0]), 4).alias("square"))
+
+
+def _pixels(s, f):
+    """Two frames of a document: the digests of its text and of the text reversed, a letter a byte."""
+    docs = _t(s, f, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    return docs.select("doc_id", F.encode(F.md5(F.col("text").cast("binary")), "UTF-8").alias("a"), F.encode(F.md5(F.reverse("text").cast("binary")), "UTF-8").alias("b"))
+
+
+_PIXELS = "SELECT doc_id, list_transform(string_split(md5(coalesce(text, '')), ''), lambda x: ascii(x)) AS a, list_transform(string_split(md5(reverse(coalesce(text, ''))), ''), lambda x: ascii(x)) AS b FROM documents"
+_MOMENTS = f"SELECT doc_id, list_avg(a) AS mx, list_avg(b) AS my, list_var_pop(a) AS vx, list_var_pop(b) AS vy, list_avg(list_transform(range(1, 33), lambda i: a[i] * b[i])) - list_avg(a) * list_avg(b) AS c FROM ({_PIXELS})"
+
+
+def _frames(s, f):
+    """Frames of an array of as many 2 x 2 frames as a document's characters over 50 say, decoded by the array backend."""
+
+    @F.udf("binary")
+    def film(doc_id, n):
+        import io
+
+        import numpy as np
+
+        out = io.BytesIO()
+        np.save(out, np.full((n, 2, 2, 3), doc_id % 251, dtype=np.uint8))
+        return out.getvalue()
+
+    docs = _t(s, f, "documents").where("doc_id < 200")
+    files = docs.select(_path().alias("path"), film("doc_id", (F.col("n_chars") / 50).cast("int")).alias("content"))
+    return frames.frames_of(files, backends=("pyav", "npy"), max_frames=64, batch=16)
+
+
+def _latents(s, f):
+    @F.udf("shape array<int>, data binary")
+    def latent(doc_id):
+        import numpy as np
+
+        return frames.packed_latent(np.arange(3 * 4 * 2 * 2, dtype=float).reshape(3, 4, 2, 2) + doc_id % 7)
+
+    docs = _t(s, f, "documents").where("doc_id % 3 = 0")
+    return docs.select(F.col("doc_id").cast("string").alias("stem"), latent("doc_id").alias("l")).select("stem", "l.shape", "l.data")
+
+
+def _flow(s, f):
+    """A run of all stages, then one from the shards on: the rows of each table and how often the stage ran."""
+    gated = lambda t: gates.gated(t["ingest"], t["score"], t["caption"], t.get("motion"), t.get("caption_quality"), **_GATES)
+    steps = {
+        flow.Stage.INGEST: lambda t: clips(s, f), flow.Stage.EMBED: lambda t: vectors(s, f), flow.Stage.DEDUP: lambda t: dedup.exact_dedup(t["ingest"]), flow.Stage.SCORE: lambda t: scores(s, f),
+        flow.Stage.MOTION: lambda t: motion(s, f), flow.Stage.CAPTION: lambda t: captions(s, f), flow.Stage.CAPTION_QUALITY: lambda t: caption_quality(s, f),
+        flow.Stage.SHARD: lambda t: gated(t).where("gate = 'pass'").select("path"), flow.Stage.MANIFEST: lambda t: manifest.manifest("v1", t["ingest"], t["dedup"], t["score"], t.get("motion"), t.get("caption_quality"), min_motion=MOTION_GATE),
+    }
+    run = flow.Flow(s, shared_dir(s), steps)
+    run.run()
+    found = run.run(from_stage=flow.Stage.SHARD)
+    rows = [found[k].agg(F.lit(k).alias("stage"), F.count("*").alias("rows")) for k in found]
+    every = rows[0]
+    for r in rows[1:]:
+        every = every.union(r)
+    runs = run.metric_rows().where("status = 'ok'").groupBy("stage").agg(F.count("*").alias("runs"))
+    return every.join(runs, "stage")
+
+
+def _funnel(s, f):
+    """How many clips are left after each of nine steps; the later signals count among those of the steps before."""
+    rows = _gated(s, f).join(vectors(s, f).select("id", F.lit(True).alias("embedded")), F.col("doc_id") == F.col("id"), "left")
+    rows = rows.join(dedup.exact_dedup(clips(s, f)).select("path", "kept"), "path")
+    score, moved, good = (F.coalesce(F.col(c) >= t, F.lit(False)) for c, t in (("mean_score", 4.5), ("motion_score", MOTION_GATE), ("quality_score", 0.65)))
+    steps = {"ingested": F.lit(True), "embedded": F.col("embedded"), "deduplicated": F.col("kept"), "aesthetic": score, "motion": moved, "captioned": score & moved, "quality": good, "latents": score & moved & good, "written": F.col("gate") == "pass"}
+    return rows.agg(*[F.count_if(c).alias(k) for k, c in steps.items()])
 
 
 def _names(s, f):
@@ -255,7 +377,29 @@ CATALOGUE: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]
     "frame_sample_repeat": (lambda s, f: _sampled(s, f, 16, True), _indices(16, True)),
     "shard_assignment": (lambda s, f: _samples(s, f).select("path", "ordinal", "shard_idx", "position", "key", "shard"), f"SELECT path, i AS ordinal, shard_idx, position, printf('%05d_%04d', shard_idx, position) AS key, printf('shard_%05d.tar', shard_idx) AS shard FROM ({_SAMPLES})"),
     "shard_metadata": (lambda s, f: shards.metadata(_samples(s, f), ["path", "source", "label"]).select("path", "json"), f"SELECT path, '{{\"path\":\"' || path || '\",\"source\":\"' || source || '\",\"label\":\"' || label || '\"}}' AS json FROM ({_SAMPLES})"),
-    "shard_stats": (_shard_stats, f"SELECT count(DISTINCT shard_idx) AS count, count(*) AS total_samples FROM ({_SAMPLES})"),
+    "shard_stats": (lambda s, f: shards.shard_stats(_shard_files(s, f)).drop("files"), f"SELECT count(*) AS count, sum(samples)::BIGINT AS total_samples, sum(size_bytes)::BIGINT AS total_bytes, round(sum(size_bytes) / 1e6, 1) AS total_mb FROM ({_TARS})"),
+    "shard_files": (lambda s, f: shards.shard_files(_shard_files(s, f)), f"SELECT name, size_bytes, samples FROM ({_TARS})"),
+    "class_totals": (lambda s, f: statistics.class_totals(clips(s, f)), "SELECT count(DISTINCT label) AS n_classes, count(*) AS total_clips FROM clips"),
+    "top_labels": (lambda s, f: statistics.top_labels(_t(s, f, "customer").select(F.col("c_nationkey").alias("label")), 10), "SELECT c_nationkey AS label, count(*) AS clips FROM customer GROUP BY 1 ORDER BY clips DESC, label LIMIT 10"),
+    "first_rare_labels": (lambda s, f: statistics.rare_labels(_t(s, f, "customer").select(F.col("c_nationkey").alias("label")), 60).orderBy("label").limit(5), "SELECT c_nationkey AS label, count(*) AS clips FROM customer GROUP BY 1 HAVING count(*) < 60 ORDER BY label LIMIT 5"),
+    "first_clips": (lambda s, f: statistics.first_paths(clips(s, f).select("path"), 100), "SELECT path FROM clips ORDER BY regexp_replace(path, '[^/]*$', ''), regexp_extract(path, '[^/]*$') LIMIT 100"),
+    "throughput": (lambda s, f: statistics.throughput(_t(s, f, "events"), F.unix_micros(F.col("ts").cast("timestamp")) / 1e6, F.unix_micros(F.col("ts").cast("timestamp")) / 1e6 + 1), "SELECT count(*) AS clips, round(max(epoch_us(ts)) / 1e6 + 1 - min(epoch_us(ts)) / 1e6, 3) AS seconds, round(count(*) / (max(epoch_us(ts)) / 1e6 + 1 - min(epoch_us(ts)) / 1e6), 3) AS clips_per_s FROM events"),
+    "frame_score_mean": (lambda s, f: vectors(s, f).select("id", F.round(X.mean_of("v"), 4).alias("mean")).withColumn("mean", F.col("mean") + 0.0), "SELECT id, round(list_avg(v), 4) + 0.0 AS mean FROM vectors"),
+    "metric_rows": (lambda s, f: statistics.metrics("run1", "score", statistics.score_summary(scores(s, f))), f"UNPIVOT (SELECT 'run1' AS run, 'score' AS stage, * FROM (SELECT count(*)::DOUBLE AS n, {_stats(*[(o, fn, 'mean_score') for o, fn in (('mean', 'avg'), ('median', 'median'), ('std', 'stddev_pop'), ('min', 'min'), ('max', 'max'))])}, round(100.0 * count(*) FILTER (mean_score >= 4.5) / count(*), 1)::DOUBLE AS pct_4_5, round(100.0 * count(*) FILTER (mean_score >= 5.0) / count(*), 1)::DOUBLE AS pct_5_0 FROM scores WHERE status = 'ok')) ON COLUMNS(* EXCLUDE (run, stage)) INTO NAME metric VALUE value"),
+    "frame_grey": (lambda s, f: _pixels(s, f).select("doc_id", F.round(frames.grey_mean("a"), 4).alias("grey")), f"SELECT doc_id, round(list_avg(list_transform(range(0, 10), lambda i: (299 * a[3 * i + 1] + 587 * a[3 * i + 2] + 114 * a[3 * i + 3] + 500) // 1000)), 4) AS grey FROM ({_PIXELS})"),
+    "frame_ssim": (lambda s, f: _pixels(s, f).select("doc_id", F.round(frames.frame_ssim("a", "b"), 4).alias("ssim")).withColumn("ssim", F.col("ssim") + 0.0), f"SELECT doc_id, round(greatest(0.0::DOUBLE, least(1.0::DOUBLE, (2 * mx * my + 6.5025::DOUBLE) * (2 * c + 58.5225::DOUBLE) / ((mx * mx + my * my + 6.5025::DOUBLE) * (vx + vy + 58.5225::DOUBLE)))), 4) + 0.0 AS ssim FROM ({_MOMENTS})"),
+    "frames_decoded": (lambda s, f: _frames(s, f).groupBy("path", "backend").agg(F.count("*").alias("n_frames"), F.max("batch").alias("last_batch"), F.count_distinct("rgb").alias("colours")), "SELECT path, 'npy' AS backend, least(64, n_chars // 50)::BIGINT AS n_frames, ((least(64, n_chars // 50) - 1) // 16)::INT AS last_batch, 1::BIGINT AS colours FROM clips JOIN documents USING (doc_id) WHERE doc_id < 200 AND n_chars >= 50"),
+    "latent_members": (lambda s, f: shards.with_latents(clips(s, f).select("path"), _latents(s, f)).select("path", F.coalesce(F.octet_length("latent"), F.lit(0)).alias("size")), "SELECT path, CASE WHEN doc_id % 3 = 0 THEN 96 ELSE 0 END::INT AS size FROM clips"),
+    "latent_shapes": (lambda s, f: _latents(s, f).select("stem", F.array_join(F.col("shape").cast("array<string>"), "x").alias("shape"), F.hex(F.substring("data", 1, 2)).alias("head")), "SELECT doc_id::VARCHAR AS stem, '4x3x2x2' AS shape, ['0000', '003C', '0040', '0042', '0044', '0045', '0046'][doc_id % 7 + 1] AS head FROM documents WHERE doc_id % 3 = 0"),
+    "manifest_list": (lambda s, f: manifest.listed(_manifest_files(s, f)), f"SELECT version, created, (SELECT count(*) FROM clips) AS videos, (SELECT count(*) FILTER (kept) FROM exact) AS kept, t.shards, t.size_mb FROM (VALUES ('v1', '2024-01-01T03:04:05'), ('v2', '2024-01-02T03:04:05')) AS m(version, created), (SELECT count(*) AS shards, round(sum(size_bytes) / 1e6, 1) AS size_mb FROM ({_TARS})) AS t"),
+    "dedup_result": (_dedup_file, "SELECT path, 'exact_removed' AS decision FROM exact WHERE NOT kept UNION ALL SELECT path, CASE WHEN id = m THEN 'kept' ELSE 'near_removed' END FROM (SELECT path, id, coalesce(least(id, min(y)), id) AS m FROM (SELECT path, doc_id AS id FROM exact JOIN clips USING (path) JOIN vectors ON id = doc_id WHERE kept) LEFT JOIN own_reach ON x = id GROUP BY path, id)"),
+    "filter_result": (_filter_file, "SELECT 'a query' AS query, (SELECT count(*) FROM filtered) AS total, row_number() OVER (ORDER BY similarity DESC, id::VARCHAR) - 1 AS place, id::VARCHAR AS path, similarity FROM filtered WHERE kept"),
+    "stats_result": (_stats_file, "SELECT label, count(*) AS clips, (SELECT count(DISTINCT label) FROM clips) AS n_classes, (SELECT count(*) FROM clips) AS total_clips, (SELECT count(*) FROM scores WHERE status = 'ok') AS scored, (SELECT count(*) FROM captions WHERE caption <> '') AS captioned, count(*) < 300 AS rare FROM clips GROUP BY label"),
+    "npz_roundtrip": (_npz_roundtrip, "SELECT 'videos/' || id AS path, round(list_dot_product(v, v), 4) AS square FROM vectors WHERE id < 40"),
+    "flow_stages": (_flow, "SELECT * FROM (SELECT 'ingest' AS stage, count(*) AS rows, 1::BIGINT AS runs FROM clips UNION ALL SELECT 'embed', count(*), 1 FROM vectors UNION ALL SELECT 'dedup', count(*), 1 FROM exact UNION ALL SELECT 'score', count(*), 1 FROM scores UNION ALL SELECT 'motion', count(*), 1 FROM motion UNION ALL SELECT 'caption', count(*), 1 FROM captions UNION ALL SELECT 'caption_quality', count(*), 1 FROM caption_quality UNION ALL SELECT 'shard', count(*), 2 FROM gated WHERE gate = 'pass' UNION ALL SELECT 'manifest', 1, 2)"),
+    "funnel_steps": (_funnel, f"SELECT count(*) AS ingested, count(*) FILTER (id IS NOT NULL) AS embedded, count(*) FILTER (e.kept) AS deduplicated, count(*) FILTER (mean_score >= 4.5) AS aesthetic, count(*) FILTER (motion_score >= {MOTION_GATE}) AS motion, count(*) FILTER (mean_score >= 4.5 AND motion_score >= {MOTION_GATE}) AS captioned, count(*) FILTER (quality_score >= 0.65) AS quality, count(*) FILTER (mean_score >= 4.5 AND motion_score >= {MOTION_GATE} AND quality_score >= 0.65) AS latents, count(*) FILTER (gate = 'pass') AS written FROM gated LEFT JOIN vectors ON id = doc_id JOIN exact e USING (path)"),
+    "round_robin": (lambda s, f: shards.numbered(clips(s, f).select("path"), "path").select("path", (F.col("ordinal") % 8).alias("worker")), "SELECT path, (row_number() OVER (ORDER BY path) - 1) % 8 AS worker FROM clips"),
+    "embedding_pca_points": (lambda s, f: statistics.principal_points(_t(s, f, "embeddings"), "vec_id", "embedding"), None),
     "latent_disk_usage": (lambda s, f: clips(s, f).agg(X.megabytes(F.sum(F.octet_length("content"))).alias("mb")), "SELECT round(sum(strlen(content)) / 1e6, 1) AS mb FROM clips"),
     "manifest_create": (_manifest, _manifest_sql()),
     "manifest_diff": (lambda s, f: manifest.diff(_manifest(s, f), _manifest(s, f, "v2", 5.0)), f"SELECT metric, a, b, printf('(Δ %+.1f)', b - a) AS delta FROM (UNPIVOT (SELECT * EXCLUDE (version) REPLACE ({', '.join(f'{c}::DOUBLE AS {c}' for c in ('total_videos', 'dedup_kept', 'dedup_removed', 'score_scored', 'score_passing', 'motion_scored', 'motion_passing', 'quality_scored', 'quality_passing'))}) FROM ({_manifest_sql()})) ON * INTO NAME metric VALUE a) JOIN (UNPIVOT (SELECT * EXCLUDE (version) REPLACE ({', '.join(f'{c}::DOUBLE AS {c}' for c in ('total_videos', 'dedup_kept', 'dedup_removed', 'score_scored', 'score_passing', 'motion_scored', 'motion_passing', 'quality_scored', 'quality_passing'))}) FROM ({_manifest_sql('v2', 5.0)})) ON * INTO NAME metric VALUE b) USING (metric)"),
