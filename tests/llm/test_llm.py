@@ -268,8 +268,8 @@ def test_water_filling(spark):
     assert all(math.isclose(got[s], weight[s] * left / sum(weight[x] for x in free) if s in free else cap[s]) for s in got)
 
 
-@pytest.mark.parametrize("block", [8, 2048])
-def test_near_vectors(spark, block):
+@pytest.mark.parametrize(("block", "scanned"), [(8, 2), (8, 64), (2048, 64)])
+def test_near_vectors(spark, block, scanned):
     rng = np.random.default_rng(2)
     v = rng.normal(size=(60, 16)).astype("f4")
     v[20:30] = v[19] + 0.05 * rng.normal(size=(10, 16))
@@ -283,10 +283,13 @@ def test_near_vectors(spark, block):
     for _ in range(60):
         for a, b in zip(*np.nonzero(hit), strict=True):
             up[a] = up[b] = min(up[a], up[b])
-    got = {r["vec_id"]: r for r in near_vectors.near_vectors(df, block=block).collect()}
+    got = {r["vec_id"]: r for r in near_vectors.near_vectors(df, block=block, scanned=scanned).collect()}
     assert [got[i]["component_id"] for i in range(66)] == up
     assert [got[i]["n_links"] for i in range(60)] == hit.sum(1).tolist() and got[63]["n_links"] == 0
     assert near_vectors.near_vectors(df.limit(0)).count() == 0
+    again = df.union(spark.createDataFrame([(70, v[30].tolist(), 0), (70, (-v[3]).tolist(), 0), (None, v[30].tolist(), 0)], df.schema))
+    found = sorted((-1 if r["vec_id"] is None else r["vec_id"], r["n_links"], r["component_id"]) for r in near_vectors.near_vectors(again, block=block).collect())
+    assert found[0] == (-1, 0, None) and found[-2:] == [(70, 0, 70), (70, 2, 30)] and (31, 2, 30) in found
 
 
 def test_estimates():
@@ -296,8 +299,12 @@ def test_estimates():
     x[150:] = x[:150] + 0.01 * rng.normal(size=(150, 64))
     x /= np.linalg.norm(x, axis=1, keepdims=True)
     turn = near_vectors.rotation(64)
-    guess, bound = near_vectors.estimates(x @ turn, *near_vectors.encode(x, turn))
-    assert (bound + 1e-5 >= x @ x.T).all() and abs((guess - x @ x.T).mean()) < 0.01
+    codes, factors = near_vectors.encode(x, turn)
+    guess, true = near_vectors.estimates(x @ turn, codes, factors), x @ x.T
+    assert abs((guess - true).mean()) < 0.01
+    for t in (-0.5, 0.3, 0.9, 0.98):
+        hit = guess >= near_vectors.least_estimate(factors, t)[None, :]
+        assert hit[true >= t].all() and (t < 0.9 or hit.mean() < 0.2)
 
 
 def test_classifiers(spark, none):
