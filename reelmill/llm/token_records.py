@@ -8,6 +8,8 @@ import zlib
 from array import array
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
+from operator import attrgetter
 
 import numpy as np
 import pyarrow as pa
@@ -21,8 +23,8 @@ from .pretokens import BYTE_LEVEL, cutter, pieces
 #: Fixed values of the record format: the checksum mask, the head (length, masked checksum of it) and the index entry.
 MASK, HEAD, TAIL = 0xA282EAD8, struct.Struct("<QI"), struct.Struct("<I")
 INDEX = np.dtype([("doc_id", "<i8"), ("null_id", "<u1"), ("offset", "<u8"), ("n_tokens", "<u8")])
-#: Pieces and pre-tokens that a Python worker remembers.
-REMEMBERED = 500_000
+#: Pieces and pre-tokens that a Python worker remembers, and characters from which one is too long for that.
+REMEMBERED, LONG = 500_000, 64
 
 
 def masked(data: bytes) -> int:
@@ -48,6 +50,9 @@ def unframed(read, offset: int) -> bytes:
     return data
 
 
+token_id = attrgetter("id")
+
+
 class Letters(dict):
     """A character as letters of the byte-level alphabet: printable bytes stand for themselves, the others follow from 256."""
 
@@ -91,20 +96,29 @@ class TextEncoder:
             letters = self.alphabet[word[0]] + word[1:]
         else:
             letters = "".join(map(self.alphabet.__getitem__, word))
-        ids = array(self.code, [t.id for t in self.model.tokenize(letters)]).tobytes()
-        if len(word) < 64:
-            if len(self.words) >= REMEMBERED:
-                self.words.clear()
+        ids = array(self.code, map(token_id, self.model.tokenize(letters))).tobytes()
+        if len(word) < LONG:
             self.words[word] = ids
         return ids
 
-    def _piece(self, piece: str) -> bytes:
-        if not self.plain:
-            return np.array(self.lib.encode(piece, add_special_tokens=False).ids, dtype=self.kind).tobytes()
-        if piece in self.added:  # no other piece has one in it
-            return self.added[piece]
-        words = self.words
-        return b"".join([words.get(w) or self._word(w) for w in self.cut(piece)])
+    def _learn(self, new: set[str]) -> None:
+        """Adds the ids of pieces."""
+        known, older, words, added, word_ids = self.known, self.older, self.words, self.added, self._word
+        if len(words) > REMEMBERED:
+            words.clear()
+        for piece in new:
+            if (ids := older.get(piece)) is not None:
+                pass
+            elif not self.plain:
+                ids = np.array(self.lib.encode(piece, add_special_tokens=False).ids, dtype=self.kind).tobytes()
+            elif piece in added:  # no other piece has one in it
+                ids = added[piece]
+            else:
+                cut = self.cut(piece)
+                ids = words.get(cut[0]) or word_ids(cut[0])
+                for w in cut[1:]:
+                    ids += words.get(w) or word_ids(w)
+            known[piece] = ids
 
     def _cut(self, text: str) -> list[str]:
         if not self.plain:
@@ -114,19 +128,24 @@ class TextEncoder:
         return [p for i, part in enumerate(self.split(text)) for p in ([part] if i % 2 else pieces(part))]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        cut = [self._cut(t) for t in texts]
+        """The ids of each text. Each piece is looked up once; what is new is learned once for all texts; long pieces are forgotten."""
         if len(self.known) > REMEMBERED:
             self.older, self.known = self.known, {}
-        known, older = self.known, self.older
-        out = []
+        cut = [self._cut(t) for t in texts]
+        flat, known = list(chain.from_iterable(cut)), self.known
+        found = list(map(known.get, flat))
+        gaps = [i for i, ids in enumerate(found) if ids is None]
+        new = [flat[i] for i in gaps]
+        self._learn(set(new))
+        for i, ids in zip(gaps, map(known.__getitem__, new), strict=True):
+            found[i] = ids
+        for p in new:
+            if len(p) >= LONG:
+                known.pop(p, None)
+        out, at = [], 0
         for c in cut:
-            found = list(map(known.get, c))
-            for i in [i for i, ids in enumerate(found) if ids is None]:
-                p = c[i]
-                if (ids := known.get(p)) is None:
-                    ids = known[p] = older.get(p) or self._piece(p)
-                found[i] = ids
-            out.append(b"".join(found))
+            out.append(b"".join(found[at : at + len(c)]))
+            at += len(c)
         return out
 
 
