@@ -13,6 +13,8 @@ MIN_LANGUAGE_SCORE = 0.5
 #: A repeated passage: bytes that it shares at least, the gram that stands for them, words that a run of them holds at least.
 PASSAGE_BYTES, PASSAGE_GRAM, PASSAGE_WORDS = 200, 48, 51
 TOKENIZER = "byte_bpe_multi_50k.tiktoken"
+#: Pieces that a worker remembers: fewer than op3's, since workers go on to the other stages with what they hold.
+REMEMBERED = 120_000
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -72,7 +74,7 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each text, and the digest of what they decode to."""
     import public_tokenizers as P
 
-    out = bpe.encoded(docs, P.path(TOKENIZER), P.PATTERN)
+    out = bpe.encoded(docs, P.path(TOKENIZER), P.PATTERN, remembered=REMEMBERED)
     return out.select("doc_id", "ids", F.size("ids").cast("long").alias("n_tokens"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 

@@ -19,7 +19,7 @@ from .common import column, map_batches
 from .pretokens import cutter, pieces
 
 #: Pieces, and pre-tokens, in each of the two generations that a Python worker remembers.
-REMEMBERED = 120_000
+REMEMBERED = 400_000
 #: Bytes of pre-tokens that share one rank queue; a longer pre-token has one to itself.
 SHARED = 1 << 17
 
@@ -93,8 +93,8 @@ class Encoder:
     common pieces stay however long a task runs.
     """
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str):
-        self.ranks, self.pretokens = ranks, cutter(pattern)
+    def __init__(self, ranks: dict[bytes, int], pattern: str, remembered: int = REMEMBERED):
+        self.ranks, self.pretokens, self.remembered = ranks, cutter(pattern), remembered
         self.bytes_of = {i: b for b, i in ranks.items()}
         # one more than any id stands for "no part here"; a pair's key is left * base + right
         self.nothing = max(ranks.values()) + 1
@@ -204,9 +204,9 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text. Pieces of at least 64 characters are forgotten afterwards."""
-        if len(self.parts) > REMEMBERED:
+        if len(self.parts) > self.remembered:
             self.older_parts, self.parts = self.parts, {}
-        if len(self.words) > REMEMBERED:
+        if len(self.words) > self.remembered:
             self.older_words, self.words = self.words, {}
         cut, known = [pieces(t) for t in texts], self.parts
         found = [list(map(known.get, c)) for c in cut]
@@ -226,14 +226,14 @@ class Encoder:
 
 
 @lru_cache(2)
-def encoder(path: str, pattern: str) -> Encoder:
+def encoder(path: str, pattern: str, remembered: int = REMEMBERED) -> Encoder:
     """One encoder a Python worker; the vocabulary file is read where it is installed."""
     with open(path, "rb") as f:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-    return Encoder(ranks, pattern)
+    return Encoder(ranks, pattern, remembered)
 
 
-def encoded(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def encoded(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", remembered: int = REMEMBERED) -> DataFrame:
     """One row per document: doc_id, ids (array), decoded (the bytes that the ids stand for).
 
     Null text counts as empty and has no ids; null and repeated ids pass through; an empty table gives no rows. The
@@ -243,7 +243,7 @@ def encoded(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", te
     kind = dict(rows.dtypes)["doc_id"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        e = encoder(path, pattern)
+        e = encoder(path, pattern, remembered)
         for batch in batches:
             ids = e.encode(column(batch, "text").to_pylist())
             ends = np.cumsum([0, *map(len, ids)], dtype=np.int32)
