@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
@@ -33,37 +33,48 @@ def exact_dedup(clips: DataFrame, cache: DataFrame | None = None, content: str =
     return out.select("path", "md5", (F.col("md5").isNull() | (F.col("path") == F.col("first"))).alias("kept"))
 
 
+def _nearest(sims: np.ndarray, threshold: float | None, k: int, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(row, column) of the k greatest of each row, ties by id, at or above the threshold."""
+    least = np.full(len(sims), -np.inf if threshold is None else threshold)
+    if sims.shape[1] > k:
+        least = np.maximum(least, np.partition(sims, -k, axis=1)[:, -k])
+    x, y = np.nonzero(sims >= least[:, None])
+    order = np.lexsort((ids[y], -sims[x, y], x))
+    x, y = x[order], y[order]
+    place = np.arange(len(x)) - np.searchsorted(x, x)
+    return x[place < k], y[place < k]
+
+
 def neighbours(vectors: DataFrame, threshold: float | None = None, k: int = NEIGHBOURS, id_col: str = "id", vector_col: str = "v", block: int = BLOCK) -> DataFrame:
     """(id, other, sim): the k nearest vectors of each by inner product of unit vectors, itself included, ties by id.
 
-    Blocks of vectors meet in pairs and multiply as matrices; a task holds two blocks and returns k rows a vector at
-    most. A threshold is applied before the rank: what lies below it cannot displace what lies above.
+    Hash blocks of about ``block`` vectors meet in pairs, each pair once, and multiply as matrices; a task holds two
+    blocks and returns k rows a vector at most. A threshold is applied before the rank: what lies below it cannot
+    displace what lies above. Nearest neighbours need every pair's product, so work grows with the square of the rows.
     """
-    units = written(vectors.select(F.col(id_col).alias("id"), unit(vector_col).alias("v")).where("id is not null and v is not null"))
-    count = units.count()
-    blocks = max(1, -(-count // block))
-    placed = units.withColumn("own", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int"))
-    every = F.explode(F.array(*[F.lit(i) for i in range(blocks)])).alias("other")
-    asked = placed.select("own", every, "id", "v", F.lit(True).alias("asks"))
-    told = placed.select(F.col("own").alias("other"), "id", "v", every.alias("own"), F.lit(False).alias("asks"))
-    meet = asked.unionByName(told)
-
-    def multiply(rows: pd.DataFrame) -> pd.DataFrame:
-        a, b = rows[rows["asks"]], rows[~rows["asks"]].sort_values("id")
-        none = pd.DataFrame({"id": [], "other": [], "sim": []}).astype({"id": "int64", "other": "int64", "sim": "float64"})
-        if a.empty or b.empty:
-            return none
-        ids, out = b["id"].to_numpy(), []
-        sims = np.stack(a["v"].to_list()) @ np.stack(b["v"].to_list()).T
-        for i, row in zip(a["id"], sims, strict=True):
-            at = np.arange(len(ids)) if threshold is None else np.nonzero(row >= threshold)[0]
-            at = at[np.argsort(-row[at], kind="stable")][:k]
-            out.append(pd.DataFrame({"id": i, "other": ids[at], "sim": row[at]}))
-        return pd.concat(out) if out else none
-
-    near = meet.groupBy("own", "other").applyInPandas(multiply, "id long, other long, sim double")
-    if blocks == 1:
-        return near
+    units = written(vectors.select(F.col(id_col).cast("long").alias("id"), unit(vector_col).alias("v")).where("id is not null and v is not null"))
+    count = units.agg(F.greatest(F.lit(1), F.ceil(F.count("*") / block)).cast("int").alias("blocks"))
+    placed = units.crossJoin(F.broadcast(count)).withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
+    meet = placed.select("own", other, "id", "v").select(F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "id", "v")
+
+    def multiply(keys: tuple, t: pa.Table) -> pa.Table:
+        i, j = (x.as_py() for x in keys)
+        ids, own = t["id"].to_numpy(), t["own"].to_numpy()
+        lists = t["v"].combine_chunks()
+        v = lists.flatten().to_numpy(zero_copy_only=False).reshape(len(ids), -1)
+        left, right = np.nonzero(own == i)[0], np.nonzero(own == j)[0]
+        found = [np.empty((0,), dtype=np.int64)] * 2 + [np.empty(0)]
+        if len(left) and len(right):
+            sims = v[left] @ v[right].T
+            x, y = _nearest(sims, threshold, k, ids[right])
+            found = [ids[left][x], ids[right][y], sims[x, y]]
+            if i != j:
+                y, x = _nearest(sims.T, threshold, k, ids[left])
+                found = [np.concatenate(p) for p in zip(found, [ids[right][y], ids[left][x], sims[x, y]], strict=True)]
+        return pa.table(dict(zip(("id", "other", "sim"), map(pa.array, found), strict=True)))
+
+    near = meet.groupBy("i", "j").applyInArrow(multiply, "id long, other long, sim double")
     best = F.row_number().over(W.partitionBy("id").orderBy(F.desc("sim"), "other"))
     return near.withColumn("_rank", best).where(f"_rank <= {k}").drop("_rank")
 
