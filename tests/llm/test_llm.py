@@ -39,6 +39,33 @@ def none(spark):
     return spark.createDataFrame([], SCHEMA)
 
 
+def phrases(text):
+    b, seen, s = text.encode(), set(), 0
+    for e in range(1, len(b) + 1):
+        if b[s:e] not in seen:
+            seen.add(b[s:e])
+            s = e
+    return seen
+
+
+def test_lz_edited(docs, spark):
+    """An edited text's fingerprint is that of a document with this text; the likeness is near that of the phrase sets."""
+    every = [r["text"] or "" for r in docs.orderBy("doc_id").collect()]
+    edited = [t[: len(t) - len(t) // 4] + every[(i + 1) % len(every)][: len(t) // 4] for i, t in enumerate(every)]
+    got = {r["doc_id"]: r for r in lz_fingerprint.fingerprint_documents(docs).collect()}
+    own = {r["doc_id"]: r for r in lz_fingerprint.fingerprint_documents(spark.createDataFrame(list(enumerate(edited)), "doc_id long, text string")).collect()}
+    for i, (t, e) in enumerate(zip(every, edited, strict=True)):
+        assert got[i]["edited_fingerprint"] == own[i]["fingerprint"] and got[i]["n_chars"] == len(t)
+        a, b = phrases(t), phrases(e)
+        assert abs(got[i]["near_edited"] - (len(a & b) / len(a | b) if a | b else 1.0)) < 0.12
+
+
+def test_lz_repeated_and_null_ids(spark):
+    rows = [(None, "a b"), (None, "a b"), (1, "x"), (1, "y"), (2, None)]
+    got = lz_fingerprint.fingerprint_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((-1 if r["doc_id"] is None else r["doc_id"]) for r in got) == [-1, -1, 1, 1, 2]
+
+
 def test_lz(docs, none):
     rows = docs.collect()
     got = {r["doc_id"]: r for r in lz_fingerprint.fingerprint_documents(docs).collect()}
@@ -321,15 +348,31 @@ def test_classifiers(spark, none):
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
     lab = spark.createDataFrame([*labels, (None, 1, 1), (5000, None, None)], "doc_id long, quality int, toxic int")
     held = lambda i: zlib.crc32(str(i).encode()) % 5 == 0
-    got = {r["doc_id"]: r for r in language_id.identify(docs, language_id.train(docs)).collect()}
+    model = language_id.train(docs)
+    got = {r["doc_id"]: r for r in language_id.identify(docs, model).collect()}
+    for i in range(0, 400, 37):  # word by word
+        words = [model.logs[model.word_rows(w)].mean(0) for w in rows[i][1].lower().replace("#", " ").replace("!", " ").split()]
+        odds = np.exp(np.mean(words, axis=0) * min(len(words), language_id.EVIDENCE))
+        assert got[i]["lang_pred"] == model.languages[int(odds.argmax())] and abs(got[i]["score"] - odds.max() / odds.sum()) < 1e-6
     assert all(got[i]["held_out"] == held(i) for i in range(400)) and not got[None]["held_out"]
     assert np.mean([got[i]["lang_pred"] == rows[i][2] for i in range(400) if held(i)]) > 0.98
     assert all(got[i]["lang_pred"] == "und" and got[i]["score"] == 0 for i in range(1000, 1005))
-    q = {r["doc_id"]: r for r in quality.score(docs, quality.train(docs, lab)).collect()}
+    net = quality.train(docs, lab)
+    q = {r["doc_id"]: r for r in quality.score(docs, net).collect()}
+    for i in range(0, 400, 37):
+        of = np.concatenate([quality.word_features([w], len(net.weight))[0] for w in rows[i][1].split()])
+        assert abs(q[i]["score"] - 1 / (1 + np.exp(-net.bias - net.weight[of].mean()))) < 1e-9
     good = [q[i]["score"] for i in range(400) if held(i) and labels[i][1]]
     poor = [q[i]["score"] for i in range(400) if held(i) and not labels[i][1]]
     assert min(len(good), len(poor)) > 3 and np.mean([g > p for g in good for p in poor]) > 0.95
-    t = {r["doc_id"]: r for r in toxicity.classify(docs, toxicity.train(docs, lab, ["quality", "toxic"])).collect()}
+    chain = toxicity.train(docs, lab, ["quality", "toxic"])
+    t = {r["doc_id"]: r for r in toxicity.classify(docs, chain).collect()}
+    for i in range(0, 400, 37):
+        has, before = {f for piece in rows[i][1].split() for f in toxicity.features(piece)}, []
+        for w in chain.links:
+            z = sum(w[at] for f, at in chain.place.items() if f in has) + sum(p * x for p, x in zip(before, w[len(chain.place) :], strict=False)) + w[-1]
+            before.append(1 / (1 + math.exp(-z)))
+        assert np.allclose([t[i]["p_quality"], t[i]["p_toxic"]], before) and t[i]["score"] == t[i]["p_toxic"]
     assert np.mean([t[i]["predicted"] == labels[i][2] for i in range(400) if held(i)]) > 0.95
     empty = none.select("doc_id", "text", "lang")
     assert language_id.identify(empty, language_id.train(empty)).count() == 0
@@ -350,6 +393,25 @@ def test_pipeline(spark, tmp_path, docs):
     assert all(r["n_tokens"] == len(r["ids"]) for r in out)
 
 
+def test_repeated_and_null_ids(spark):
+    """Rows count one by one: null ids first, repeated ones by text."""
+    path, bpe_path = P.path("byte_bpe_50k.json"), P.path("byte_bpe_multi_50k.tiktoken")
+    docs = spark.createDataFrame([(None, "b", None), (1, "one two", "s"), (1, "one two", "s"), (1, None, None)], "doc_id long, text string, source string")
+    got = sorted((r["start"], -1 if r["doc_id"] is None else r["doc_id"], r["n_tokens"]) for r in token_records.token_digests(docs, path).collect())
+    assert got == [(0, -1, 2), (2, 1, 1), (3, 1, 3), (6, 1, 3)]
+    assert sorted((r["doc_id"] or 0, r["n_tokens"]) for r in bpe.digests(docs, bpe_path, P.PATTERN).collect()) == [(0, 1), (1, 0), (1, 2), (1, 2)]
+    mixed = mixing.mix(docs).collect()
+    assert len(mixed) == 4 and sum(r["size"] for r in mixed) == 5
+
+
+def test_pipeline_language_with_clashing_columns(spark):
+    corpus_pipeline = pytest.importorskip("corpus_pipeline")
+    names = ["doc_id", "text", "lang", "score", "lang_pred", "held_out", "_text", "_id"]
+    rows = [(i, f"the of and {w} words", "en", "a", "b", "c", "d", "e") for i, w in enumerate(WORDS * 3)] + [(99, "12 !!", "en", *"abcde")]
+    out = corpus_pipeline.language(spark, spark.createDataFrame(rows, names), "")
+    assert out.columns == names and {tuple(r)[3:] for r in out.collect()} == {tuple("abcde")} and out.where("doc_id = 99").count() == 0
+
+
 def test_pipeline_near_duplicates_of_repeated_ids(spark):
     corpus_pipeline = pytest.importorskip("corpus_pipeline")
     rng = random.Random(7)
