@@ -14,7 +14,7 @@ from .common import column, discard, map_batches, mix64, session_of, written
 #: Bytes of a repeated string, of a gram that stands for it, and of a piece of text that is worked on at once.
 LENGTH, GRAM, PIECE = 400, 200, 1 << 20
 #: Bytes of excerpts that one suffix array holds; excerpts, and their bytes, that a hash may bring to one task.
-BATCH, CROWD, CROWD_BYTES = 1 << 20, 250, 1 << 22
+BATCH, CROWD, CROWD_BYTES = 1 << 20, 400, 1 << 22
 #: Suffixes whose bytes are held for sorting at a time.
 SORTED = 1 << 15
 #: Fixed odd multiplier of the rolling hash.
@@ -365,6 +365,18 @@ def _merged(found: DataFrame) -> DataFrame:
     return found.groupBy("tkey").agg(F.sort_array(F.collect_set(F.struct("a", "b"))).alias("spans"))
 
 
+def _joined(spans: str) -> Column:
+    """Ascending spans of an excerpt with those that touch made one, so that each of its places has few."""
+    last = lambda done: F.element_at(done, -1)
+    wider = lambda done, s: F.struct(last(done)["a"].alias("a"), F.greatest(last(done)["b"], s["b"]).alias("b"))
+
+    def add(done: Column, s: Column) -> Column:
+        touches = (F.size(done) > 0) & (F.try_element_at(done, F.lit(-1))["b"] >= s["a"])
+        return F.when(touches, F.concat(F.slice(done, 1, F.size(done) - 1), F.array(wider(done, s)))).otherwise(F.concat(done, F.array(s)))
+
+    return F.aggregate(spans, F.array().cast(SPANS), add)
+
+
 def _same_windows(texts: DataFrame, length: int) -> DataFrame:
     """(tkey, text) -> (tkey, spans) by the digest of each window alone: what crowds come to when no gram can split them."""
     windows = written(_windows(texts, length))
@@ -414,7 +426,7 @@ def repeats(texts: DataFrame, length: int, gram: int, piece: int, crowd: int = C
         again = crowded.select(F.concat(F.unhex(F.lpad(F.hex("v"), 16, "0")), "ekey").alias("tkey"), F.col("excerpt").alias("text"), "v", "ekey", "many")
         again = written(again)
         inner = repeats(again.select("tkey", "text"), length, length - (length - gram) // 4, piece, crowd, crowd_bytes)
-        known = again.where("not many").join(inner, "tkey").select("v", "ekey", "spans")
+        known = again.where("not many").join(inner, "tkey").select("v", "ekey", _joined("spans").cast(SPANS).alias("spans"))
         spans = written(spans.union(crowded.where("many").select("v", "ekey", _all_of("excerpt").alias("spans"))).union(known))
     discard(distinct)
     found = places.join(spans, ["v", "ekey"]).select("tkey", F.explode("spans").alias("s"), "s0")
